@@ -25,9 +25,9 @@ def _numeric_exceptions() -> dict[int, str]:
             out[n] = bytes([n]).decode("cp1252")
         except UnicodeDecodeError:
             out[n] = chr(n)
-    out[0x00] = "�"
+    out[0x00] = "\ufffd"
     out[0x0D] = "\r"
-    out[0xFEFF] = "﻿"  # the UTF-32 decoder would take it for a byte order mark
+    out[0xFEFF] = "\ufeff"  # the UTF-32 decoder would take it for a byte order mark
     return out
 
 
@@ -42,7 +42,7 @@ def _from_code(code: Column) -> Column:
     """Code number (as a long) -> character."""
     plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
     return (
-        F.when(code.isNull() | (code > _MAX_CODE) | code.between(0xD800, 0xDFFF), F.lit("�"))
+        F.when(code.isNull() | (code > _MAX_CODE) | code.between(0xD800, 0xDFFF), F.lit("\ufffd"))
         .otherwise(F.coalesce(F.try_element_at(_lookup(_numeric_exceptions()), code.cast("string")), plain))
     )
 

@@ -14,7 +14,7 @@ from textlake.functions.entities import html_unescape
 from textlake.specs import CleanConfig
 
 # Unicode white space and word characters.
-_SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0  -     　"
+_SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 SPACE = f"[{_SPACE_SET}]"
 NON_SPACE = f"[^{_SPACE_SET}]"
 WORD = r"[\p{L}\p{N}_]"
@@ -26,7 +26,8 @@ MENTION = f"@{WORD}+"
 HASHTAG = f"#({WORD}+)"
 REPEAT = r"(?d)(.)\1{2,}"
 NON_ALPHA = f"[^a-z{_SPACE_SET}]"
-TOKEN = r"(?U)\b\w[\w']*\b"
+TOKEN = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_']*[\p{L}\p{N}_])?"
+FEATURE_TOKEN = f"{WORD}{{2,}}"
 
 # Contraction endings, applied in this order.
 CONTRACTIONS = (
@@ -192,4 +193,4 @@ def surface_text(c: Column, cfg: CleanConfig, base=STOPWORDS) -> Column:
 
 def analyze(clean: Column) -> Column:
     """Cleaned text -> feature tokens: lower case, two word characters or more."""
-    return F.regexp_extract_all(F.lower(clean), F.lit(r"(?U)\b\w\w+\b"), F.lit(0))
+    return F.regexp_extract_all(F.lower(clean), F.lit(FEATURE_TOKEN), F.lit(0))

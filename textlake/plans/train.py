@@ -17,7 +17,7 @@ from textlake.operators.estimators import (
 )
 from textlake.operators.lexical import corpus_terms, noun_lemmas
 from textlake.operators.metrics import best_run, evaluate
-from textlake.session import materialize, scratch_path
+from textlake.session import materialize
 from textlake.sources.models import save_model
 from textlake.sources.runs import RUNS_SCHEMA, append_runs
 from textlake.sources.splits import read_split
@@ -103,7 +103,7 @@ def train_dataset(
     parts = [read_split(spark, splits_path, name) for name in ("train", "val", "test")]
     lemma_path = ""
     if cfg.reduction == "lemma":
-        lemma_path = scratch_path(spark, "lemmas")
+        lemma_path = f"{model_path}-lemmas"
         write_lemmas(parts[0], cfg, lemma_path, lexicon)
     runs, models = sweep(
         *parts, cfg, dataset, methods, max_features, lemma_path=lemma_path, run_id=run_id
