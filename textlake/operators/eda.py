@@ -24,7 +24,7 @@ def word_counts(df: DataFrame) -> DataFrame:
 def median_words(df: DataFrame) -> DataFrame:
     """Median word count; documents of one length are counted together first."""
     lengths = df.groupBy(word_count(F.col("text")).alias("words")).agg(F.count("*").alias("n"))
-    return lengths.agg(F.percentile("words", 0.5, "n").alias("median_words"))
+    return lengths.agg(F.percentile("words", 0.5, F.col("n")).alias("median_words"))
 
 
 def clipped_histogram(df: DataFrame, column: str, upper: float, bins: int) -> DataFrame:

@@ -71,13 +71,9 @@ def stratified_split(
     sizes = split_sizes(df, test, val, classes)
     wanted = sizes.select(
         F.col("label").alias("grp"),
-        F.inline(
-            F.array(
-                F.struct(F.lit("test").alias("cut"), F.col("test_n").alias("k")),
-                F.struct(F.lit("val"), F.col("test_n") + F.col("val_n")),
-            )
-        ),
-    )
+        F.col("test_n").alias("test"),
+        (F.col("test_n") + F.col("val_n")).alias("val"),
+    ).unpivot("grp", ["test", "val"], "cut", "k")
     keyed = df.where(F.col("label").isin(*classes)).select(
         F.col("label").alias("grp"), "doc_id", h.alias("h")
     )
