@@ -252,22 +252,26 @@ class BalancedLogisticRegression(
 
     C = Param(Params._dummy(), "C", "inverse penalty", TypeConverters.toFloat)
     maxIter = Param(Params._dummy(), "maxIter", "iterations", TypeConverters.toInt)
+    tol = Param(Params._dummy(), "tol", "relative improvement to stop at", TypeConverters.toFloat)
 
     @keyword_only
-    def __init__(self, *, inputCol=None, labelCol=None, C=None, maxIter=None):
+    def __init__(self, *, inputCol=None, labelCol=None, C=None, maxIter=None, tol=None):
         super().__init__()
-        self._setDefault(inputCol="features", labelCol="label", C=1.0, maxIter=1000)
+        self._setDefault(inputCol="features", labelCol="label", C=1.0, maxIter=1000, tol=1e-6)
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> LogisticRegressionModel:
         label, features_col = self.getLabelCol(), self.getInputCol()
-        rows = df.select(features_col, label).withColumn("_weight", balanced_weight(df, label))
+        # Written once in even pieces: every iteration runs one task per piece, and a
+        # lost executor re-reads vectors instead of cleaning texts again.
+        rows = materialize(df.select(features_col, label).hint("rebalance"), "training")
         trainer = LogisticRegression(
             featuresCol=features_col, labelCol=label, weightCol="_weight",
-            maxIter=self.getOrDefault("maxIter"), elasticNetParam=0.0, standardization=False,
-            regParam=1.0 / (self.getOrDefault("C") * df.count()), tol=1e-8,
+            maxIter=self.getOrDefault("maxIter"), tol=self.getOrDefault("tol"),
+            elasticNetParam=0.0, standardization=False,
+            regParam=1.0 / (self.getOrDefault("C") * rows.count()),
         )
-        return trainer.fit(rows)
+        return trainer.fit(rows.withColumn("_weight", balanced_weight(rows, label)))
 
 
 # Class names.

@@ -71,10 +71,7 @@ def sweep(
         vectorizer = TextVectorizerModel(fitted.vocab, fitted.n_docs, fitted.avgdl)
         fitted._copyValues(vectorizer)
         vectorizer.set(vectorizer.method, method)
-        vectors = materialize(
-            vectorizer.transform(clean["train"]).select("features", "label"), f"{method}-vectors"
-        )
-        classifier = BalancedLogisticRegression().fit(vectors)
+        classifier = BalancedLogisticRegression().fit(vectorizer.transform(clean["train"]))
         chain = PipelineModel([vectorizer, classifier])
         for split in ("val", "test"):
             found = evaluate(score(clean[split].select("label", "tokens"), chain)).first()
