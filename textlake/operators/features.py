@@ -115,11 +115,12 @@ def bow(counts: DataFrame, vocab: DataFrame, max_rows: int | None = MAX_FEATURES
     return dimension_join(counts, terms, "term", "doc_id", max_rows=max_rows)
 
 
-_DOC = Window.partitionBy("doc_id")
+def _per_document(value: Column) -> Column:
+    return F.sum(value).over(Window.partitionBy("doc_id"))
 
 
 def _unit_rows(raw: DataFrame) -> DataFrame:
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(_DOC))
+    norm = F.sqrt(_per_document(F.col("raw") * F.col("raw")))
     weight = F.when(norm > 0, F.col("raw") / norm).otherwise(F.col("raw"))
     return raw.select("doc_id", "term", "term_idx", weight.alias("weight"))
 
@@ -144,7 +145,7 @@ def bm25(
     """BM25 weight of each term, each document scaled to unit length."""
     avgdl = average_length(vocab, n_docs) if avgdl is None else avgdl
     rows = bow(counts, with_idf(vocab, "bm25", n_docs), max_rows).withColumn(
-        "dl", F.sum("tf").over(_DOC)
+        "dl", _per_document(F.col("tf"))
     )
     pull = k1 * (1.0 - b + b * (F.col("dl") / (avgdl + 1e-9)))
     raw = F.col("idf") * (F.col("tf") * (k1 + 1.0) / (F.col("tf") + pull))

@@ -130,7 +130,8 @@ def bm25_scores(
     )
 
 
-_BEST = (F.col("score").desc(), F.col("doc_id"))
+def _best() -> tuple[Column, Column]:
+    return F.col("score").desc(), F.col("doc_id")
 
 
 def rank_hits(
@@ -146,8 +147,8 @@ def rank_hits(
     scores = scores.where(F.col("score") > 0)
     if prefilter:
         scores = scores.join(requests, "query_id").where(asked).drop("top_k", "want")
-    pool = top_per_group(scores, ["query_id"], _BEST, candidate_pool, "doc_id").drop("rank")
-    place = F.row_number().over(Window.partitionBy("query_id").orderBy(*_BEST))
+    pool = top_per_group(scores, ["query_id"], _best(), candidate_pool, "doc_id").drop("rank")
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(*_best()))
     return (
         pool.join(requests, "query_id")
         .where(asked)
