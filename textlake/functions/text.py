@@ -15,9 +15,11 @@ from textlake.specs import CleanConfig
 
 # Unicode white space and word characters.
 _SPACE_SET = r"\t-\r\x1c-\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-SPACE = f"[{_SPACE_SET}]"
-NON_SPACE = f"[^{_SPACE_SET}]"
-WORD = r"[\p{L}\p{N}_]"
+# Plain ASCII is tested first, so most characters are settled by one comparison.
+SPACE = f"[[^!-~]&&[{_SPACE_SET}]]"
+NON_SPACE = f"[!-~[^{_SPACE_SET}]]"
+_WORD_SET = r"a-zA-Z0-9_\p{L}\p{N}"
+WORD = f"[{_WORD_SET}]"
 
 # What each cleaning step matches.
 HTML_TAG = "<[^>]+>"
@@ -25,8 +27,8 @@ URL = f"https?://{NON_SPACE}+|www\\.{NON_SPACE}+"
 MENTION = f"@{WORD}+"
 HASHTAG = f"#({WORD}+)"
 REPEAT = r"(?d)(.)\1{2,}"
-NON_ALPHA = f"[^a-z{_SPACE_SET}]"
-TOKEN = r"[\p{L}\p{N}_](?:[\p{L}\p{N}_']*[\p{L}\p{N}_])?"
+NON_ALPHA = f"[[^a-z]&&{NON_SPACE}]"
+TOKEN = f"{WORD}(?:[{_WORD_SET}']*{WORD})?"
 FEATURE_TOKEN = f"{WORD}{{2,}}"
 
 # Contraction endings, applied in this order.

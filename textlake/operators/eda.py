@@ -33,18 +33,17 @@ def clipped_histogram(df: DataFrame, column: str, upper: float, bins: int) -> Da
     counts = values.groupBy("v").agg(F.count("*").alias("n"))
     ends = counts.agg(F.struct(F.min("v").alias("lo"), F.max("v").alias("hi")).alias("e")).scalar()
     # A single value still gets a width of one, half on each side.
-    lo = F.when(ends["lo"] == ends["hi"], ends["lo"] - 0.5).otherwise(ends["lo"])
-    hi = F.when(ends["lo"] == ends["hi"], ends["hi"] + 0.5).otherwise(ends["hi"])
+    pad = F.when(F.col("e.lo") == F.col("e.hi"), 0.5).otherwise(0.0)
+    lo, hi = F.col("e.lo") - pad, F.col("e.hi") + pad
     slot = F.least(F.floor((F.col("v") - lo) * bins / (hi - lo)), F.lit(bins - 1)).cast("int")
-    filled = counts.groupBy(slot.alias("bin")).agg(F.sum("n").alias("n"))
-    edge = lo + (hi - lo) * F.col("bin") / bins
+    filled = counts.withColumn("e", ends).groupBy(slot.alias("bin")).agg(F.sum("n").alias("n"))
     return (
         df.sparkSession.range(bins)
-        .select(F.col("id").cast("int").alias("bin"))
+        .select(F.col("id").cast("int").alias("bin"), ends.alias("e"))
         .join(filled, "bin", "left")
         .select(
             "bin",
-            edge.alias("lo"),
+            (lo + (hi - lo) * F.col("bin") / bins).alias("lo"),
             (lo + (hi - lo) * (F.col("bin") + 1) / bins).alias("hi"),
             F.coalesce("n", F.lit(0)).alias("n"),
         )
