@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from suite import sql
@@ -22,13 +21,10 @@ COUNTS = sql.counts_cte("documents", CFG)
 VOCAB = sql.vocab_cte(max_features=TERMS)
 
 
-def _counts(spark, sf):
-    return ft.term_counts(ft.by_document(corpus(spark, sf)))
-
-
 def _fitted(spark, sf):
-    """Counts, vocabulary and corpus size; the vocabulary is written once."""
-    counts = _counts(spark, sf)
+    """Counts, vocabulary and corpus size; tokens and vocabulary are written once."""
+    docs = materialize(corpus(spark, sf), "tokens")
+    counts = ft.term_counts(ft.by_document(docs))
     vocab = materialize(ft.fit_vocabulary(counts, 2, TERMS), "vocab")
     return counts, vocab, ft.document_count(narrow(spark, sf))
 
@@ -103,13 +99,19 @@ ORACLES["v9_feature_names"] = f"WITH {COUNTS}, {VOCAB} SELECT term_idx, term FRO
 def _vectors(spark, sf):
     docs = materialize(corpus(spark, sf), "tokens")
     made = vectorize("tfidf", maxFeatures=TERMS).fit(docs).transform(docs)
-    values = F.filter(vector_to_array("features"), lambda w: w != 0)
-    total = F.aggregate(values, F.lit(0.0), lambda a, w: a + w)
-    return made.select(
-        "doc_id", F.size(values).alias("nonzero"), F.round(total, 6).alias("total")
+    return made.select("doc_id", _summary()("features").alias("s")).select(
+        "doc_id", "s.nonzero", F.round("s.total", 6).alias("total")
     )
 
 
+def _summary():
+    @F.udf("nonzero int, total double", useArrow=True)
+    def summary(vector):
+        return {"nonzero": vector.numNonzeros(), "total": float(vector.values.sum())}
+
+    return summary
+
+
 QUERIES["v10_to_ml_vectors"] = _vectors
 ORACLES["v10_to_ml_vectors"] = f"""WITH {COUNTS}, {VOCAB},
     w AS (SELECT doc_id, raw / sqrt(sum(raw * raw) OVER (PARTITION BY doc_id)) AS weight FROM ({sql.TFIDF_RAW}))

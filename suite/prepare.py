@@ -139,7 +139,7 @@ ORACLES["r4_dedup_conflicting"] = f"""SELECT doc_id, text, label FROM {sql.uniqu
     "(SELECT doc_id, concat(lang, source) AS text, quality AS label FROM documents JOIN labels USING (doc_id))")}"""
 
 QUERIES["r5_sample_frac"] = lambda spark, sf: pr.sample_frac(
-    documents(spark, sf).select("doc_id", "text"), 0.3, seed=7
+    narrow(spark, sf).select("doc_id", "text"), 0.3, seed=7
 )
 ORACLES["r5_sample_frac"] = """
     SELECT doc_id, text FROM documents

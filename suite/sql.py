@@ -131,8 +131,8 @@ SCORED = (
 )
 RUNS = """(
     WITH base AS (
-        SELECT lang, source, round(avg((n_chars % 10) / 10.0::DOUBLE), 1) AS f1,
-               round(avg((n_chars % 7) / 7.0::DOUBLE), 5) AS roc_auc
+        SELECT lang, source, (CAST(sum(n_chars % 10) AS BIGINT) // count(*)) / 10.0::DOUBLE AS f1,
+               (CAST(sum(n_chars % 70) AS BIGINT) // count(*)) / 70.0::DOUBLE AS roc_auc
         FROM documents GROUP BY lang, source)
     SELECT 'r' AS run_id, lang AS dataset, source AS vectorizer,
            CAST(substr(source, 4) AS INT) AS method_order, CAST(0 AS BIGINT) AS n_train,

@@ -9,7 +9,7 @@ from textlake.functions.text import stoplist
 from textlake.operators import joins
 from textlake.operators.search import build_search_index, search, search_many
 from textlake.plans.index import build_index
-from textlake.sources.index import read_index, write_index
+from textlake.sources.index import default_buckets, read_index, write_index
 from textlake.sources.splits import write_splits
 from textlake.specs import default_config
 
@@ -151,6 +151,10 @@ def test_stored_search_prunes(spark, index, tmp_path):
     assert ids(search("camera", stored, 3)) == [2]
 
 
+def test_bucket_count_follows_size():
+    assert [default_buckets(n) for n in (5, 10**7, 10**11)] == [4, 100, 4096]
+
+
 def test_build_index_from_splits(spark, tmp_path):
     rows = [(i, t, s, ("train", "val", "test")[i % 3]) for i, t, s in DOCS] + [(9, DOCS[0][1], 0, "test")]
     write_splits(

@@ -20,6 +20,11 @@ def salted_join(
     return salted.join(repeated, [key, "_salt"], how).drop("_salt")
 
 
+def small_enough(df: DataFrame) -> int:
+    """Rows of ``df``, counted no further than one past the broadcast limit."""
+    return df.limit(MAX_BROADCAST_ROWS + 1).count()
+
+
 def dimension_join(
     large: DataFrame,
     dim: DataFrame,
@@ -31,10 +36,10 @@ def dimension_join(
     """Broadcast ``dim`` when its rows are known to be few, else salt.
 
     ``max_rows`` states a bound that holds by construction (a limit, a literal
-    list). Without one the rows are counted up to the broadcast limit.
+    list, an earlier count). Without one the rows are counted.
     """
     if max_rows is None:
-        max_rows = dim.limit(MAX_BROADCAST_ROWS + 1).count()
+        max_rows = small_enough(dim)
     if max_rows <= MAX_BROADCAST_ROWS:
         return large.join(F.broadcast(dim), key, how)
     return salted_join(large, dim, key, spread_by, how)

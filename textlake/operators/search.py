@@ -12,7 +12,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from textlake.functions.arrays import run_lengths
-from textlake.operators.joins import dimension_join
+from textlake.operators import joins
 from textlake.operators.lexical import corpus_terms, noun_lemmas, with_tokens
 from textlake.operators.ranking import top_per_group
 from textlake.session import materialize
@@ -116,11 +116,16 @@ def bm25_scores(
     ``wanted`` has (query_id, term, qtf). The term table is cut to the query terms
     first, then the postings; ``max_rows`` bounds ``wanted`` if known.
     """
-    weighted = dimension_join(
-        terms.select("term", "idf"), wanted, "term", "term", max_rows=max_rows
-    )
-    # One idf per term, so this join keeps the row count of ``wanted``.
-    rows = dimension_join(postings, weighted, "term", "doc_id", max_rows=max_rows)
+    if max_rows is None:
+        max_rows = joins.small_enough(wanted)
+    idf = terms.select("term", "idf")
+    if max_rows <= joins.MAX_BROADCAST_ROWS:
+        weighted = idf.join(F.broadcast(wanted), "term")
+    else:
+        asked = idf.join(wanted.select("term").distinct(), "term", "left_semi")
+        weighted = joins.dimension_join(wanted, asked, "term", "query_id")
+    # A term has one idf, so ``weighted`` has no more rows than ``wanted``.
+    rows = joins.dimension_join(postings, weighted, "term", "doc_id", max_rows=max_rows)
     pull = k1 * (1.0 - b + b * F.col("dl") / avgdl)
     gain = F.col("qtf") * F.col("idf") * (F.col("tf") * (k1 + 1.0) / (F.col("tf") + pull))
     return rows.groupBy("query_id", "doc_id").agg(
@@ -146,7 +151,8 @@ def rank_hits(
     asked = F.col("want").isNull() | (F.col("want") == F.col("sentiment"))
     scores = scores.where(F.col("score") > 0)
     if prefilter:
-        scores = scores.join(requests, "query_id").where(asked).drop("top_k", "want")
+        scores = joins.dimension_join(scores, requests, "query_id", "doc_id").where(asked)
+        scores = scores.drop("top_k", "want")
     pool = top_per_group(scores, ["query_id"], _best(), candidate_pool, "doc_id").drop("rank")
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(*_best()))
     return (
@@ -159,18 +165,25 @@ def rank_hits(
 
 
 def with_texts(hits: DataFrame, index: SearchIndex, max_rows: int | None = None) -> DataFrame:
-    """Fetch texts of the hits; a stored index reads only the buckets they lie in."""
+    """Fetch texts of the hits; a stored index reads only the buckets they lie in.
+
+    Few hits are broadcast to the texts. Many are cut to distinct documents first,
+    and the join that repeats a text per query is salted, because one document may
+    answer a large share of the queries.
+    """
     keys = ["doc_id"]
-    texts = index.docs.select("doc_id", "text")
     if index.doc_buckets:
         keys = ["doc_bucket", "doc_id"]
         hits = hits.withColumn("doc_bucket", bucket_of(F.col("doc_id"), index.doc_buckets))
-        texts = index.docs.select(*keys, "text")
-    if max_rows is not None:
-        hits = F.broadcast(hits)
-    return texts.join(hits, keys).select(
-        "query_id", "rank", "doc_id", "score", "text", "sentiment"
-    )
+    texts = index.docs.select(*keys, "text")
+    if max_rows is not None and max_rows <= joins.MAX_BROADCAST_ROWS:
+        found = texts.join(F.broadcast(hits), keys)
+    else:
+        needed = texts.join(hits.select(*keys).distinct(), keys, "left_semi")
+        found = joins.salted_join(
+            hits, needed.select("doc_id", "text"), "doc_id", "query_id"
+        )
+    return found.select("query_id", "rank", "doc_id", "score", "text", "sentiment")
 
 
 def requests_of(queries: DataFrame, top_k: int, sentiment: int | None) -> DataFrame:
@@ -195,8 +208,10 @@ def search_many(
     """Hits of every query in (query_id, text[, top_k, sentiment])."""
     wanted = query_terms(queries, index.cfg, index.lemmas)
     scores = bm25_scores(wanted, index.postings, index.terms, F.lit(index.avgdl))
-    hits = rank_hits(scores, requests_of(queries, top_k, sentiment), candidate_pool, prefilter)
-    return with_texts(hits, index)
+    requests = requests_of(queries, top_k, sentiment)
+    hits = rank_hits(scores, requests, candidate_pool, prefilter)
+    asked = requests.agg(F.coalesce(F.sum("top_k"), F.lit(0))).first()[0]
+    return with_texts(hits, index, max_rows=asked)
 
 
 def search(

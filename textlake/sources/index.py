@@ -26,9 +26,16 @@ def _write_bucketed(df: DataFrame, key: str, bucket: str, buckets: int, path: st
     )
 
 
+def default_buckets(n_docs: int) -> int:
+    """More folders for larger corpora: enough to prune by, few enough to list."""
+    return max(4, min(4096, n_docs // 100_000))
+
+
 def write_index(
-    index: SearchIndex, path: str, term_buckets: int = 64, doc_buckets: int = 64
+    index: SearchIndex, path: str, term_buckets: int | None = None, doc_buckets: int | None = None
 ) -> None:
+    term_buckets = term_buckets or default_buckets(index.n_docs)
+    doc_buckets = doc_buckets or default_buckets(index.n_docs)
     _write_bucketed(index.postings, "term", "term_bucket", term_buckets, f"{path}/postings")
     _write_bucketed(index.docs, "doc_id", "doc_bucket", doc_buckets, f"{path}/docs")
     index.terms.write.mode("overwrite").parquet(f"{path}/terms")
