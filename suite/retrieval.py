@@ -10,14 +10,13 @@ from suite.inputs import (
     turn_tokens, turns,
 )
 from textlake.operators import eda, embeddings as em, search as se
-from textlake.operators.prepare import usable_rows
 from textlake.plans.index import index_corpus
 from textlake.plans.prepare import prepare
 from textlake.plans.train import text_classifier
 from textlake.session import materialize, scratch_path
 from textlake.sources.index import read_index, write_index
 from textlake.sources.tables import read_table
-from textlake.specs import default_config, reviews_config, tweets_config
+from textlake.specs import reviews_config, tweets_config
 from textlake.streaming.requests import score_stream, search_stream
 
 QUERIES, ORACLES = {}, {}
@@ -127,6 +126,8 @@ QUERIES["e4_frequent_words"] = lambda spark, sf: em.frequent_words(corpus(spark,
 ORACLES["e4_frequent_words"] = f"""
     SELECT token AS word, count(*) AS cf FROM {sql.token_table('documents', CFG)}
     GROUP BY token HAVING count(*) >= 5 ORDER BY cf DESC, word LIMIT 200"""
+
+
 def _scatter(spark, sf):
     docs = materialize(corpus(spark, sf), "tokens")
     vectors = em.word_vectors(em.fit_word2vec(docs, 20, epochs=1))
