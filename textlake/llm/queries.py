@@ -5,13 +5,47 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlake.llm import byte_bpe, dart_minhash, line_dedup, mixing, token_files, warc
+from textlake.llm import (
+    byte_bpe, dart_minhash, line_dedup, lm_scoring, mixing, pivot_search, token_files, toxicity, vector_graph, warc,
+)
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def residue(doc_id: str, n: int) -> F.Column:
+    """The remainder that deals documents to training and held-out parts."""
+    return F.crc32(F.col(doc_id).cast("string")) % n
+
+
+def toxicity_model(spark: SparkSession, sf: str) -> toxicity.Model:
+    """Learnt from the labelled documents that are not held out."""
+    labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "toxic").filter(residue("id", 5) != 0)
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return toxicity.fit(docs.join(labels, F.col("doc_id") == F.col("id")).drop("id"))
+
+
+def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return lm_scoring.score_documents(
+        table(spark, sf, "documents"), residue("doc_id", 7) == 2, path, public_tokenizers.PATTERN)
+
+
+def op4_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    scored = toxicity.score(table(spark, sf, "documents"), toxicity_model(spark, sf))
+    return scored.withColumn("held_out", F.coalesce(residue("doc_id", 5) == 0, F.lit(False))).select(
+        "doc_id", "held_out", "score", "predicted")
+
+
+def op7_vector_graph(spark: SparkSession, sf: str) -> DataFrame:
+    return vector_graph.near_vectors(table(spark, sf, "embeddings"))
+
+
+def op9_pivot_search(spark: SparkSession, sf: str) -> DataFrame:
+    return pivot_search.top_k(table(spark, sf, "embeddings"))
+
+
 def op2_warc(spark: SparkSession, sf: str) -> DataFrame:
     manifest = warc.write(warc.record_chunks(table(spark, sf, "pages")))
     return warc.read(manifest, with_bytes=False).filter("last").select(
@@ -43,15 +77,41 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_warc": op2_warc,
     "op3_dart_minhash": op3_dart_minhash,
+    "op4_toxicity": op4_toxicity,
     "op5_byte_bpe": op5_byte_bpe,
     "op6_mixing": op6_mixing,
+    "op7_vector_graph": op7_vector_graph,
     "op8_line_dedup": op8_line_dedup,
+    "op9_pivot_search": op9_pivot_search,
     "op10_token_files": op10_token_files,
 }
 
 ORACLES = {
+    "op9_pivot_search": """
+        WITH v AS (
+          SELECT vec_id, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings
+          WHERE list_bool_and([x IS NOT NULL AND isfinite(x) for x in embedding])),
+        i AS (SELECT vec_id, k, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x FROM v),
+        s AS (
+          SELECT q.vec_id AS query_id, c.vec_id, CAST(sum(q.x * c.x) AS BIGINT) AS score
+          FROM i q JOIN i c ON q.k = c.k AND q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0 GROUP BY 1, 2),
+        r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10""",
+    "op7_vector_graph": """
+        WITH RECURSIVE u AS (
+          SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+          WHERE label IS NOT NULL AND embedding IS NOT NULL),
+        l AS (
+          SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.label = b.label AND a.vec_id <> b.vec_id
+          WHERE list_cosine_similarity(a.e, b.e) >= 0.93),
+        reach(a, b) AS (SELECT a, b FROM l UNION SELECT r.a, l.b FROM reach r JOIN l ON r.b = l.a)
+        SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links,
+               least(e.vec_id, coalesce((SELECT min(b) FROM reach WHERE reach.a = e.vec_id), e.vec_id)) AS component_id,
+               e.vec_id <= coalesce((SELECT min(b) FROM reach WHERE reach.a = e.vec_id), e.vec_id) AS kept
+        FROM embeddings e""",
     "op2_warc": """
         WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
                           sha256(coalesce(html, '')) AS payload_digest FROM pages),
