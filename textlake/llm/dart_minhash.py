@@ -9,11 +9,12 @@ that some ``k (ln k + 3)`` are expected; of those that fall on one coordinate th
 earliest stays. Documents with a coordinate left empty double their bound. Two
 signatures agree in a coordinate with the weighted Jaccard similarity.
 
-Signatures are cut into bands; documents that share a band are candidates, and
-an exact check of the shingles decides. Candidates are not expanded into pairs:
-in each band the first document is compared with the others, links are closed to
-classes, and only what is still in different classes of one band is compared
-further, at the end each such pair, so that no link between classes is lost.
+Signatures are cut into bands. What hangs together by shared bands is a pool of
+candidates, found from one row for each document and band. Inside a pool every
+pair is checked by its exact shingles, in blocks: a task holds two blocks of a
+pool, compares them by a product of their incidence tables, and returns only the
+links of a spanning forest. So no link between classes is lost and no pair of
+documents becomes a row.
 
 Words are lower-cased and separated by ASCII white space. Equal word sequences
 are one text from the start.
@@ -41,6 +42,8 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 24, 5  # a pair at similarity 0.8 is missed with 0.007 %
 K = BANDS * ROWS
+#: Documents of a block, and shingles of two blocks that are compared by one product.
+BLOCK, WIDEST = 256, 32_768
 _U = np.uint64
 
 
@@ -195,21 +198,71 @@ def _shingle_sets(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInPandas(sets, f"id {key}, elements array<int>")
 
 
-def _similar(pairs: DataFrame, sets: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) whose weighted Jaccard similarity reaches the bound."""
-    kind = pairs.schema["a"].dataType.simpleString()
-
-    def check(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            keep = []
-            for x, y in zip(batch["x"], batch["y"]):
-                common = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(common >= similarity * (len(x) + len(y) - common))
-            yield batch.loc[keep, ["a", "b"]]
-
-    left = sets.select(F.col("id").alias("b"), F.col("elements").alias("y"))
-    right = sets.select(F.col("id").alias("a"), F.col("elements").alias("x"))
-    return pairs.join(left, "b").join(right, "a").select("a", "b", "x", "y").mapInPandas(check, f"a {kind}, b {kind}")
+def _intersections(a: list[np.ndarray], b: list[np.ndarray]) -> np.ndarray | None:
+    """Common elements of each pair by one matrix product; None where that would be too wide."""
+    names = np.unique(np.concatenate([*a, *b]))
+    if len(names) > WIDEST:
+        return None
+    tables = []
+    for sets in (a, b):
+        table = np.zeros((len(sets), len(names)), np.float32)
+        table[np.repeat(np.arange(len(sets)), [len(s) for s in sets]), np.searchsorted(names, np.concatenate(sets))] = 1
+        tables.append(table)
+    return tables[0] @ tables[1].T
+
+
+def _joined(a: list[np.ndarray], b: list[np.ndarray], same: bool, similarity: float) -> list[tuple[int, int]]:
+    """Links of a spanning forest of all similar pairs between two lists of sets (or within one)."""
+    above = list(range(len(a) + (0 if same else len(b))))
+
+    def top(i: int) -> int:
+        while above[i] != i:
+            above[i] = above[above[i]]
+            i = above[i]
+        return i
+
+    size_a, size_b = np.array([len(s) for s in a]), np.array([len(s) for s in b])
+    fits = (size_a[:, None] >= similarity * size_b) & (size_b >= similarity * size_a[:, None])
+    if same:
+        fits = np.triu(fits, 1)
+    common = _intersections(a, b) if len(a) * len(b) > 64 else None
+    if common is not None:
+        fits &= common >= similarity * (size_a[:, None] + size_b - common) - 1e-6
+    links = []
+    for i, j in zip(*np.nonzero(fits)):
+        x, y = top(i), top(j if same else len(a) + j)
+        if x == y:
+            continue
+        if common is None:
+            n = len(np.intersect1d(a[i], b[j], assume_unique=True))
+            if n < similarity * (len(a[i]) + len(b[j]) - n):
+                continue
+        above[max(x, y)] = min(x, y)
+        links.append((i, j))
+    return links
+
+
+def _links(placed: DataFrame, similarity: float) -> DataFrame:
+    """Links (a, b) that join what is similar inside each ``pool`` of (pool, blocks, id, elements).
+
+    A pool is cut into blocks, and each pair of blocks is one group: no task holds
+    a large pool, and no pair of documents is ever a row.
+    """
+    kind = placed.schema["id"].dataType.simpleString()
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    own = placed.withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    dealt = own.withColumn("other", other).select(
+        "pool", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "id", "elements")
+
+    def join(group: pd.DataFrame) -> pd.DataFrame:
+        low, high = group["low"].iloc[0], group["high"].iloc[0]
+        group = group.sort_values("id")
+        left, right = group[group["block"] == low], group[group["block"] == high]
+        found = _joined(list(left["elements"]), list(right["elements"]), low == high, similarity) if len(left) and len(right) else []
+        a, b = left["id"].to_numpy(), right["id"].to_numpy()
+        return pd.DataFrame({"a": a[[i for i, _ in found]], "b": b[[j for _, j in found]]})
+
+    return dealt.groupBy("pool", "low", "high").applyInPandas(join, f"a {kind}, b {kind}")
 
 
 def near_duplicates(
@@ -218,49 +271,21 @@ def near_duplicates(
     """(doc_id, class_id, kept) of every row; class_id is the smallest doc_id of the class."""
     signed = materialize(_signed(docs, bands, rows, width), "signed")
     texts = materialize(
-        signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("size").alias("size"), F.first("bands").alias("bands")),
-        "texts")
-    exploded = texts.filter("id is not null and bands is not null").select("id", "size", F.explode("bands").alias("band")).distinct()
-    counted = exploded.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    members = materialize(exploded.join(counted, "band"), "members")
-    fits = (F.col("size") >= similarity * F.col("lead_size")) & (F.col("lead_size") >= similarity * F.col("size"))
-
-    known, tested, links, sets = None, None, None, None
-    for step in ("first", "other", "all"):
-        placed = members.withColumn("class", F.col("id"))
-        if known is not None:
-            placed = members.join(known.select("id", F.col("component").alias("found")), "id", "left").withColumn(
-                "class", F.coalesce("found", "id")).drop("found")
-            open_bands = placed.groupBy("band").agg(F.min("class").alias("low"), F.max("class").alias("high")).filter("low < high")
-            placed = materialize(placed.join(open_bands.select("band"), "band"), "open")
-        lead = F.struct("id") if step == "first" else F.struct(F.xxhash64("id", "band"), "id")
-        if step == "all":
-            leaders = placed.select("band", F.col("id").alias("lead"), F.col("size").alias("lead_size"), F.col("class").alias("lead_class"))
-            ordered = F.col("class") < F.col("lead_class")
-        else:
-            leaders = materialize(
-                placed.groupBy("band").agg(F.min_by(F.struct("id", "size", "class"), lead).alias("l"))
-                .select("band", F.col("l.id").alias("lead"), F.col("l.size").alias("lead_size"), F.col("l.class").alias("lead_class")),
-                "leaders")
-            ordered = F.col("class") != F.col("lead_class")
-        pairs = placed.join(leaders, "band").filter(ordered & fits).select(
-            F.least("id", "lead").alias("a"), F.greatest("id", "lead").alias("b")).distinct()
-        pairs = materialize(pairs.join(tested, ["a", "b"], "left_anti") if tested is not None else pairs, "pairs")
-        if pairs.isEmpty():
-            if step == "first":
-                break
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        wanted = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
-        if sets is not None:
-            wanted = wanted.join(sets.select("id"), "id", "left_anti")
-        texts_wanted = docs.select(F.col("doc_id").alias("id"), "text").join(wanted, "id", "left_semi")
-        more = materialize(_shingle_sets(texts_wanted, width), "shingles")
-        sets = more if sets is None else sets.union(more)
-        found = materialize(_similar(pairs, sets, similarity), "links")
-        links = found if links is None else links.union(found)
-        known = materialize(components(links), "classes")
+        signed.groupBy("digest").agg(F.min("doc_id").alias("id"), F.first("bands").alias("bands")), "texts")
+    exploded = texts.filter("id is not null and bands is not null").select("id", F.explode("bands").alias("band"))
+    # The first of each band stands for it; what hangs together by bands is a pool of candidates.
+    first = materialize(
+        exploded.groupBy("band").agg(F.min("id").alias("first"), F.max("id").alias("last")).filter("first < last").drop("last"), "bands")
+    shared = materialize(exploded.join(first, "band").select(F.col("first").alias("a"), F.col("id").alias("b")).filter("a <> b").distinct(), "shared")
     result = signed.select("doc_id", "digest").join(texts.select("digest", "id"), "digest")
-    if known is not None:
-        result = result.join(known.withColumnRenamed("component", "found"), "id", "left").withColumn("id", F.coalesce("found", "id"))
+    if not shared.isEmpty():
+        pools = materialize(components(shared).withColumnRenamed("component", "pool"), "pools")
+        sized = pools.groupBy("pool").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+        known = materialize(pools.join(sized, "pool"), "sized-pools")
+        # One merge join whatever the number of candidates: texts move once, those of candidates alone go on.
+        wanted = docs.select(F.col("doc_id").alias("id"), "text").join(known.select("id").hint("merge"), "id", "left_semi")
+        sets = _shingle_sets(wanted, width).dropDuplicates(["id"])
+        placed = materialize(sets.join(known, "id"), "shingles")
+        classes = components(materialize(_links(placed, similarity), "links"))
+        result = result.join(classes.withColumnRenamed("component", "found"), "id", "left").withColumn("id", F.coalesce("found", "id"))
     return result.select("doc_id", F.col("id").alias("class_id"), F.coalesce(F.col("doc_id") == F.col("id"), F.lit(False)).alias("kept"))
