@@ -30,6 +30,8 @@ from pyspark.sql import DataFrame, functions as F
 
 CHUNK = 32_768
 OVERLAP = 2_048
+#: One more than the characters of the longest fixed alternative of a split pattern.
+REACH = 4
 #: Pieces whose ids a worker keeps; it starts anew beyond that.
 KEPT_PIECES = 200_000
 
@@ -83,11 +85,12 @@ def codec(path: str, pattern: str) -> Codec:
 def boundaries(pieces: list[str], start: int, last: bool) -> np.ndarray:
     """Starts of the pieces and, after the last one, its end.
 
-    Unless the chunk ends the text, the last piece may be cut: it does not count.
+    Unless the chunk ends the text, what is cut off there could change the last
+    piece, and a match within reach of the pattern's fixed endings: these do not count.
     """
     ends = start + np.cumsum([len(p) for p in pieces], dtype=np.int64)
     found = np.concatenate([[start], ends]).astype(np.int64)
-    return found if last or len(found) < 2 else found[:-1]
+    return found if last else found[found <= max(start, int(found[-1]) - REACH)]
 
 
 def stitch(chunks: list[tuple[int, str, np.ndarray]], model: Codec) -> Iterator[list[str]]:

@@ -10,7 +10,7 @@ Defined results: a null or empty text stays as it is; units of fewer words than
 ``min_words`` always stay; a document may lose all its units, and then has an
 empty text; rows with the same id and text are one document to the ranking, so
 they lose the same units; a null ``doc_id`` ranks first; an empty table gives an
-empty result; other columns pass through unchanged.
+empty result; other columns pass through unchanged, but for one called ``removed``.
 """
 
 from __future__ import annotations
@@ -77,10 +77,11 @@ def dedup_lines(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WOR
 
     ``removed`` holds (start, end) in characters of the original text.
     """
-    gone = materialize(repeated_units(docs, separator, min_words), "gone")
+    gone = materialize(repeated_units(docs, separator, min_words), "gone").toDF("_gone_id", "_gone_hash", "_gone")
+    docs = docs.drop("removed")
     names = docs.columns
     marked = docs.withColumn("_hash", F.xxhash64("text")).join(
-        gone, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("_hash") == F.col("text_hash")), "left")
+        gone, F.col("doc_id").eqNullSafe(F.col("_gone_id")) & (F.col("_hash") == F.col("_gone_hash")), "left")
 
     @F.pandas_udf("text string, removed array<struct<start:int,end:int>>")
     def cut(text: pd.Series, places: pd.Series) -> pd.DataFrame:
@@ -91,8 +92,8 @@ def dedup_lines(docs: DataFrame, separator: str = "\n", min_words: int = MIN_WOR
         return pd.DataFrame({"text": [d[0] for d in done],
                              "removed": [[{"start": a, "end": b} for a, b in d[1]] for d in done]})
 
-    touched = marked.filter("gone is not null").withColumn("_cut", cut("text", "gone"))
-    untouched = marked.filter("gone is null")
+    touched = marked.filter("_gone is not null").withColumn("_cut", cut("text", "_gone"))
+    untouched = marked.filter("_gone is null")
     none = F.lit(None).cast("array<struct<start:int,end:int>>")
     return touched.select(
         *[F.col("_cut.text").alias("text") if n == "text" else docs[n] for n in names], F.col("_cut.removed").alias("removed")

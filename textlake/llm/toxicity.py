@@ -28,7 +28,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 PER_LABEL, LONGEST = 2500, 20_000
 #: Hashed subsequences, landmarks, and letters of a word that are looked at together.
@@ -252,16 +252,20 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST)
     return fit_texts([r["text"] for r in rows], np.array([int(r["toxic"]) for r in rows]), prior)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """(doc_id, score, predicted) of every row."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
+def score_of(docs: DataFrame, model: Model) -> Column:
+    """The score of ``text``, row by row."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
-                p = np.concatenate([shared.value.score(part["text"].iloc[k : k + 32].tolist()) for k in range(0, len(part), 32)])
-                yield pd.DataFrame({"doc_id": part["doc_id"], "score": p, "predicted": (p >= 0.5).astype(np.int32)})
+    @F.pandas_udf("double")
+    def scored(text: pd.Series) -> pd.Series:
+        texts = text.tolist()
+        parts = [shared.value.score(texts[at : at + 32]) for at in range(0, len(texts), 32)]
+        return pd.Series(np.concatenate([np.zeros(0), *parts]))
+
+    return scored("text")
 
-    return docs.select("doc_id", "text").mapInPandas(scored, f"doc_id {kind}, score double, predicted int")
+
+def score(docs: DataFrame, model: Model) -> DataFrame:
+    """(doc_id, score, predicted) of every row."""
+    texts = docs.select("doc_id", "text")
+    return texts.select("doc_id", score_of(texts, model).alias("score")).withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
