@@ -13,26 +13,40 @@ COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
 def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity classifier does not reject."""
-    rejected = toxicity.score(docs, toxicity_model(spark, sf_dir)).filter("predicted = 1").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(*COLUMNS)
+    """Documents that the toxicity classifier does not reject, each row by itself."""
+    docs = docs.select(*COLUMNS)
+    return docs.withColumn("_score", toxicity.score_of(docs, toxicity_model(spark, sf_dir))).filter("_score < 0.5").drop("_score")
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each class of near duplicates."""
+    """The document with the smallest id of each class of near duplicates.
+
+    Of rows with one id one stays; rows without an id stay.
+    """
+    docs = docs.select(*COLUMNS)
     dropped = dart_minhash.near_duplicates(docs).filter("not kept and class_id is not null").select("doc_id").distinct()
-    return docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    kept = docs.join(dropped, "doc_id", "left_anti").select(*COLUMNS)
+    if docs.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").isEmpty():
+        return kept
+    return kept.filter("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.filter("doc_id is null"))
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that an earlier one has."""
-    return line_dedup.dedup_lines(docs).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    return line_dedup.dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
-    copies = mixing.mix(docs).filter("copies > 0").select("doc_id", "copies")
-    return docs.join(copies, "doc_id").withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*COLUMNS)
+    """Each document as often as the mix takes it; equal rows share their copies."""
+    docs = docs.select(*COLUMNS).withColumn("_hash", F.coalesce(F.xxhash64("text"), F.lit(0)))
+    named = docs.withColumn("doc_id", F.struct("doc_id", "_hash"))
+    taken = materialize(
+        mixing.mix(named).groupBy(F.col("doc_id.doc_id").alias("_id"), F.col("doc_id._hash").alias("_of"))
+        .agg(F.sum("copies").cast("int").alias("_copies"), F.count("*").alias("_rows")), "copies")
+    if not taken.filter("_rows > 1").isEmpty():
+        docs = docs.dropDuplicates(["doc_id", "_hash"])
+    wanted = docs.join(taken.filter("_copies > 0"), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_hash") == F.col("_of")))
+    return wanted.withColumn("_copy", F.explode(F.sequence(F.lit(1), "_copies"))).select(*COLUMNS)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
