@@ -1,4 +1,5 @@
 import os
+import tempfile
 import sys
 
 import pytest
@@ -19,6 +20,7 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="textlake-tests-"))
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
