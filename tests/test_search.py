@@ -143,6 +143,7 @@ def test_lemmas_travel_with_the_index(spark, tmp_path):
 def test_stored_search_prunes(spark, index, tmp_path):
     write_index(index, str(tmp_path / "ix"), 8, 8)
     stored = read_index(spark, str(tmp_path / "ix"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "4000")  # whole locations, however long
     plan = search("camera", stored)._jdf.queryExecution().executedPlan().toString()
     postings = next(line for line in plan.splitlines() if "FileScan" in line and "postings" in line)
     assert "PartitionFilters: [isnotnull(term_bucket" in postings or "(term_bucket" in postings.split("PartitionFilters")[1]
