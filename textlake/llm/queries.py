@@ -23,7 +23,7 @@ def toxicity_model(spark: SparkSession, sf: str) -> toxicity.Model:
     """Learnt from the labelled documents that are not held out."""
     labels = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), "toxic").filter(residue("id", 5) != 0)
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return toxicity.fit(docs.join(labels, F.col("doc_id") == F.col("id")).drop("id"))
+    return toxicity.fit(docs.join(labels, F.col("doc_id") == F.col("id")).drop("id"), docs)
 
 
 def op1_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:

@@ -231,8 +231,14 @@ def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4
     return Model(table, model.bias, max(slope, 0.0), offset)
 
 
-def fit(labelled: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST) -> Model:
-    """Fit on a sample of (doc_id, text, toxic), the ids with the smallest hashes."""
+def fit(
+    labelled: DataFrame, texts: DataFrame | None = None, per_label: int = PER_LABEL, longest: int = LONGEST,
+) -> Model:
+    """Fit on a sample of (doc_id, text, toxic), the ids with the smallest hashes.
+
+    Texts of the sample are looked up in ``texts`` (doc_id, text) if given, so that
+    no join moves the others.
+    """
     usable = labelled.filter("doc_id is not null and toxic in (0, 1)")
     counts = {int(r["toxic"]): r["count"] for r in usable.groupBy("toxic").count().collect()}
     total = sum(counts.values())
@@ -246,10 +252,12 @@ def fit(labelled: DataFrame, per_label: int = PER_LABEL, longest: int = LONGEST)
     if not {0, 1} <= {label for _, label in ids}:
         return Model(None, 0.0, 0.0, float(np.log(prior / (1 - prior))))
     spark = labelled.sparkSession
-    wanted = F.broadcast(spark.createDataFrame(sorted({i for i, _ in ids}), labelled.schema["doc_id"].dataType).toDF("doc_id"))
-    rows = usable.select("doc_id", "text", "toxic").join(wanted, "doc_id").dropDuplicates(["doc_id"]).collect()
+    label_of = {i: label for i, label in sorted(ids)}
+    wanted = F.broadcast(spark.createDataFrame([(i,) for i in label_of], labelled.select("doc_id").schema))
+    found = (labelled if texts is None else texts).select("doc_id", "text").join(wanted, "doc_id")
+    rows = found.filter(F.length("text") <= longest).dropDuplicates(["doc_id"]).collect()
     rows.sort(key=lambda r: (hash(r["doc_id"]) * 2654435761 % 2**32, r["doc_id"]))
-    return fit_texts([r["text"] for r in rows], np.array([int(r["toxic"]) for r in rows]), prior)
+    return fit_texts([r["text"] for r in rows], np.array([label_of[r["doc_id"]] for r in rows]), prior)
 
 
 def score_of(docs: DataFrame, model: Model) -> Column:
