@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter
 
@@ -75,6 +76,15 @@ def test_simple8b_round_trip():
             assert (simple8b.decode(words, offsets, n) == values).all()
 
 
+def test_word_ids_equal_the_whole_tokenizer():
+    whole, by_word, rng = Tokenizer.from_file(WORDS), token_files.WordIds(WORDS), random.Random(1)
+    letters = "abcXYZ'''stdlmrev 019.,;|<>-_éÉ×İıǅǆŉɏſßÿµ’\t\n\x01\u0301中"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 40))) for _ in range(2000)]
+    texts += ["DON'T we'Re 'ſs x<|endoftext|>y <|startoftext|> ΣΑΣ Ⅷ ²½", *(f"a{chr(c)}b" for c in range(33, 0x250))]
+    want = [np.array(e.ids, "<u4").tobytes() for e in whole.encode_batch(texts, add_special_tokens=False)]
+    assert by_word.encode(texts) == want
+
+
 def test_token_files(docs, none):
     tokenizer = Tokenizer.from_file(WORDS)
     got = sorted(map(tuple, token_files.read(token_files.write(docs, WORDS)).collect()), key=lambda r: r[1])

@@ -16,7 +16,9 @@ documents; other columns are ignored. ``doc_id`` is an integer.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,6 +26,7 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textlake.llm import simple8b
@@ -36,14 +39,27 @@ TRAILER_BYTES = struct.calcsize(TRAILER)
 SLAB = simple8b.BLOCK * 1024
 #: Words whose ids a worker keeps; it starts anew beyond that.
 KEPT_WORDS = 300_000
+#: Visible ASCII and composed Latin letters.
+PLAIN = re.compile("[!-~\u00c0-\u024f]+")
 MANIFEST = "file string, first long, first_null boolean, n_docs long, n_ids long"
 
 
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level models write for each byte: itself if visible in Latin-1, else one from 256 on."""
+    visible = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
+
+
 class WordIds:
     """Ids of whole texts from a tokenizer that drops white space.
 
     Its pre-tokens never span white space, so ids are looked up word by word and
-    each distinct word is encoded once.
+    each distinct word is encoded once. Words of visible ASCII and Latin letters
+    are composed already, and lower-casing them is the same everywhere: they are
+    split into pre-tokens here by the tokenizer's own pattern, each distinct
+    pre-token going to its model. All other words, and those of a tokenizer with
+    other steps, go through the whole tokenizer.
     """
 
     def __init__(self, path: str):
@@ -51,18 +67,54 @@ class WordIds:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        self._model = self._tokenizer.model
+        steps = json.loads(self._tokenizer.to_str())
+        self._pattern = self._plain_pattern(steps)
+        # Added tokens are found anywhere in a text, before all other steps.
+        self._added = re.compile("|".join(re.escape(t["content"]) for t in steps["added_tokens"]) or "(?!)")
+        self._letters = _byte_letters()
         self._kept: dict[bytes, bytes] = {}
+        self._pieces: dict[str, bytes] = {}
+
+    @staticmethod
+    def _plain_pattern(steps: dict):
+        """The pre-token pattern, if composing, blanks and lower case are all that happens before it."""
+        normal = (steps["normalizer"] or {}).get("normalizers", [])
+        before = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if [n["type"] for n in normal] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in before] != ["Split", "ByteLevel"]:
+            return None
+        split, letters = before
+        blanks = normal[1]["pattern"] == {"Regex": r"\s+"} and normal[1]["content"] == " "
+        kept = split["behavior"] == "Removed" and split["invert"] and not letters["add_prefix_space"] and not letters["use_regex"]
+        if not blanks or not kept or any(t["normalized"] for t in steps["added_tokens"]):
+            return None
+        return regex.compile(split["pattern"]["Regex"]) if "Regex" in split["pattern"] else None
+
+    def _piece(self, piece: str) -> bytes:
+        ids = self._pieces.get(piece)
+        if ids is None:
+            written = piece if piece.isascii() else "".join(map(self._letters.__getitem__, piece.encode()))
+            ids = self._pieces[piece] = np.array([t.id for t in self._model.tokenize(written)], "<u4").tobytes()
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
         kept = self._kept
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
+        for held in (kept, self._pieces):
+            if len(held) > KEPT_WORDS:
+                held.clear()
         words = [text.encode().split() for text in texts]
-        new = list(set(chain.from_iterable(words)).difference(kept))
-        if new:
-            coded = self._tokenizer.encode_batch_fast([w.decode() for w in new], add_special_tokens=False)
-            for word, ids in zip(new, coded):
+        others = []
+        for word in set(chain.from_iterable(words)).difference(kept):
+            text = word.decode()
+            lower = text.lower()
+            if self._pattern and PLAIN.fullmatch(text) and PLAIN.fullmatch(lower) and not self._added.search(text):
+                kept[word] = b"".join(map(self._piece, self._pattern.findall(lower)))
+            else:
+                others.append(word)
+        if others:
+            coded = self._tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
+            for word, ids in zip(others, coded):
                 kept[word] = np.array(ids.ids, "<u4").tobytes()
         return [b"".join(map(kept.__getitem__, w)) for w in words]
 
