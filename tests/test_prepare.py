@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 from textlake.operators import prepare as pr
 from textlake.operators.ranking import kth_smallest, running_totals, top_per_group
 from textlake.operators.split import split_sizes, stratified_split
-from textlake.plans.prepare import prepare_dataset
+from textlake.plans.prepare import prepare, prepare_dataset
 from textlake.sources.raw_csv import read_reviews, read_tweets
 from textlake.sources.splits import read_split, write_splits
-from textlake.specs import AMAZON, DatasetSpec
+from textlake.specs import AMAZON, DatasetSpec, get_dataset
 
 
 def test_reviews_csv(spark, tmp_path):
@@ -31,6 +31,28 @@ def test_tweets_csv(spark, tmp_path):
     assert [(r.target, r.text) for r in got] == [("0", 'café "x"'), ("4", None)]
 
 
+def test_ids_and_splits_do_not_depend_on_partitioning(spark, tmp_path):
+    lines = [f'"{(0, 4)[i % 2]}","{i}","d","q","u","text {i % 900} of it"' for i in range(3000)]
+    (tmp_path / "one").mkdir()
+    (tmp_path / "one" / "a.csv").write_text("\n".join(lines) + "\n")
+    # A small first file: by size it would be read last.
+    (tmp_path / "two").mkdir()
+    (tmp_path / "two" / "a.csv").write_text("\n".join(lines[:7]) + "\n\n")
+    (tmp_path / "two" / "b.csv").write_text("\n".join(lines[7:]) + "\n")
+    spec, got = get_dataset("sentiment140"), []
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for folder, size in (("one", "128m"), ("one", "20k"), ("one", "7k"), ("two", "128m"), ("two", "9k")):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            raw = read_tweets(spark, str(tmp_path / folder))
+            assert [int(r.ids) for r in raw.orderBy("doc_id").collect()] == list(range(3000))
+            got.append({r.doc_id: (r.text, r.label, r.split) for r in prepare(raw, spec).collect()})
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+    assert all(x == got[0] for x in got) and len(got[0]) == 900
+    assert all(label == i % 2 for i, (_, label, _) in got[0].items())
+
+
 def test_usable_rows(spark):
     rows = [
         (0, "good", "5"), (1, "bad", "1.0"), (2, "meh", "3"), (3, "x", "x"), (4, "y", None), (5, None, "4"),
