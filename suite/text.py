@@ -282,7 +282,7 @@ def _lemma_ctes() -> str:
         SELECT term, term AS form, 0 AS round, CAST(0 AS BIGINT) AS place FROM terms
         UNION ALL
         SELECT term, concat(left(form, length(form) - length(ending)), repl), round + 1, place * 16 + rule
-        FROM forms JOIN endings ON suffix(form, ending) WHERE round < 12),
+        FROM forms JOIN endings ON suffix(form, ending)),
     hits AS (SELECT *, min(greatest(round, 1)) OVER (PARTITION BY term) AS first_round
              FROM forms SEMI JOIN lex USING (form)),
     lemmas AS (SELECT term, arg_min(form, (length(form), place)) AS lemma FROM hits

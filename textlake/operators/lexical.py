@@ -61,6 +61,22 @@ def _detach(form: Column) -> Column:
     return F.filter(F.array(*options), lambda option: option.isNotNull())
 
 
+def _live(term: Column) -> Column:
+    """One character for each place, from the end, that detaching can reach; 's' or 'm' where it goes on.
+
+    An ending is taken from a form in ``s``; what is left ends in ``s`` again only by
+    ``ss`` or ``ses``, so all forms that go on are beginnings of the term, up to
+    each ``s`` of its last run of ``s`` with single ``e`` between. A beginning in
+    ``men`` before that run goes on too.
+    """
+    tail = F.reverse(F.substr(term, F.length(F.rtrim(term, F.lit("es"))) + 1))
+    doubled = F.instr(tail, "ee")
+    run = F.rtrim(F.when(doubled > 0, F.substr(tail, F.lit(1), doubled - 1)).otherwise(tail), F.lit("e"))
+    run = F.when(F.endswith(term, F.lit("s")), run).otherwise("")
+    base = F.substr(term, F.lit(1), F.length(term) - F.length(run))
+    return F.concat(run, F.when(F.endswith(base, F.lit("men")), "m").otherwise(""))
+
+
 def noun_lemmas(
     terms: DataFrame, lexicon: DataFrame, exceptions: DataFrame | None = None
 ) -> DataFrame:
@@ -70,73 +86,76 @@ def noun_lemmas(
     term itself and its detached forms are looked up in the lexicon, the shortest
     hit wins. Terms without a hit have their forms detached again, as long as any
     are left. A term with an exception is looked up by that alone.
+
+    All forms of a term come from one expression, however often an ending can be
+    detached; forms longer than any lemma are never made.
     """
     known = lexicon.select(F.col("lemma").alias("form")).distinct()
-    rank = F.struct(F.length("form").alias("n"), F.col("place"), F.col("form"))
+    rank = F.struct("cut", F.length("form").alias("n"), "rule", "form")
     found = []
+
+    def best(forms: DataFrame) -> DataFrame:
+        return forms.join(known, "form", "left_semi").groupBy("term").agg(F.min(rank).alias("best"))
+
     if exceptions is not None:
         irregular = terms.join(
             exceptions.select(F.col("form").alias("term"), "lemma"), "term"
         )
-        own = irregular.select("term", F.col("term").alias("form"), F.lit(0).alias("place"))
-        other = irregular.select("term", F.col("lemma").alias("form"), F.lit(1).alias("place"))
-        hits = own.unionByName(other).join(known, "form", "left_semi")
-        found.append(hits.groupBy("term").agg(F.min(rank).alias("best")))
+        own = irregular.select("term", F.col("term").alias("form"), F.lit(0).alias("rule"))
+        other = irregular.select("term", F.col("lemma").alias("form"), F.lit(1).alias("rule"))
+        found.append(best(own.unionByName(other).withColumn("cut", F.lit(0))))
         terms = terms.join(irregular.select("term"), "term", "left_anti")
-
-    def expand(forms: DataFrame) -> DataFrame:
-        return forms.select("term", "place", F.inline(_detach(F.col("form")))).select(
-            "term", "form", (F.col("place") * 16 + F.col("rule")).alias("place")
-        )
-
     # Only these endings can change a term.
-    start = terms.where(F.endswith("term", F.lit("s")) | F.endswith("term", F.lit("men"))).select(
-        "term", F.col("term").alias("form"), F.lit(0).cast("long").alias("place")
+    terms = terms.where(F.endswith("term", F.lit("s")) | F.endswith("term", F.lit("men")))
+    own = terms.select("term", F.col("term").alias("form"), F.lit(0).alias("rule"))
+    once = terms.select("term", F.inline(_detach(F.col("term")))).select("term", "form", "rule")
+    hits = materialize(best(own.unionByName(once).withColumn("cut", F.lit(0))), "lemmas")
+    found.append(hits)
+    longest = lexicon.agg(F.max(F.length("lemma"))).first()[0] or 0
+    places = (
+        terms.where(F.length(_live(F.col("term"))) > 1)
+        .join(hits, "term", "left_anti")
+        .select("term", F.posexplode(F.split(_live(F.col("term")), "")).alias("cut", "goes_on"))
+        # The longest ending takes off three letters more than it puts in place.
+        .where(F.col("goes_on").isin("s", "m") & (F.length("term") - F.col("cut") <= longest + 3))
     )
-    forms = materialize(expand(start), "forms")
-    lookup = start.unionByName(forms)
-    while True:
-        hits = materialize(
-            lookup.join(known, "form", "left_semi").groupBy("term").agg(F.min(rank).alias("best")),
-            "lemmas",
-        )
-        found.append(hits)
-        forms = materialize(expand(forms.join(hits, "term", "left_anti")), "forms")
-        if forms.isEmpty():
-            break
-        lookup = forms
+    shorter = F.substr("term", F.lit(1), F.length("term") - F.col("cut"))
+    again = places.select("term", "cut", F.inline(_detach(shorter))).select("term", "form", "rule", "cut")
+    found.append(best(again.where("cut > 0")))
     merged = found[0]
     for more in found[1:]:
         merged = merged.unionByName(more)
     return merged.select("term", F.col("best.form").alias("lemma")).where("lemma <> term")
 
 
-def replace_tokens(
-    df: DataFrame, mapping: DataFrame, tokens: str = "tokens", key: str = "doc_id"
-) -> DataFrame:
+def replace_tokens(df: DataFrame, mapping: DataFrame, tokens: str = "tokens") -> DataFrame:
     """Replace the tokens found in ``mapping`` (term, lemma); others stay.
 
     A mapping of checked size becomes a dictionary on every worker and no row
-    moves. A larger one is joined: tokens are exploded with their positions, the
-    join is salted against frequent tokens, and the lists are put together again.
+    moves. A larger one is joined, with the same result: every row gets an id of its own,
+    which is written with it; tokens are exploded with their positions, the join is salted against
+    frequent tokens, and the lists are put together again. Rows may repeat in all
+    their columns. A stream with a mapping that large needs ``foreachBatch``.
     """
     rows, size = mapping.agg(
         F.count("*"), F.coalesce(F.sum(F.octet_length("term") + F.octet_length("lemma")), F.lit(0))
     ).first()
     if rows <= MAX_BROADCAST_ROWS and size <= MAX_DICTIONARY_BYTES:
         return df.withColumn(tokens, dictionary_lookup(mapping)(F.col(tokens)))
-    exploded = df.select(key, F.posexplode(tokens).alias("pos", "term"))
-    joined = salted_join(exploded, mapping, "term", key, "left")
-    lists = joined.groupBy(key).agg(
+    if df.isStreaming:
+        raise ValueError(f"{rows} lemmas are too many to hold in a task; transform each batch in foreachBatch")
+    numbered = materialize(df.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    exploded = numbered.select("_row", F.posexplode(tokens).alias("pos", "term"))
+    joined = salted_join(exploded, mapping, "term", "_row", "left")
+    lists = joined.groupBy("_row").agg(
         F.sort_array(
             F.collect_list(F.struct("pos", F.coalesce("lemma", "term").alias("token")))
         ).alias("pairs")
     )
-    replaced = lists.select(key, F.col("pairs.token").alias("_replaced"))
+    replaced = lists.select("_row", F.col("pairs.token").alias("_replaced"))
     return (
-        df.join(replaced, key, "left")
+        numbered.join(replaced, "_row", "left")
         .withColumn(tokens, F.coalesce("_replaced", tokens))
-        .drop("_replaced")
         .select(df.columns)
     )
 
@@ -161,7 +180,6 @@ def lemmatize_tokens(
     lexicon: DataFrame | None = None,
     exceptions: DataFrame | None = None,
     tokens: str = "tokens",
-    key: str = "doc_id",
 ) -> DataFrame:
     """Noun lemma of every token; without a lexicon the corpus' own terms serve."""
     terms = corpus_terms(df, tokens)
@@ -169,7 +187,7 @@ def lemmatize_tokens(
         terms = materialize(terms, "terms")
         lexicon = terms.select(F.col("term").alias("lemma"))
     mapping = materialize(noun_lemmas(terms, lexicon, exceptions), "lemma-map")
-    return replace_tokens(df, mapping, tokens, key)
+    return replace_tokens(df, mapping, tokens)
 
 
 def with_tokens(
@@ -178,7 +196,6 @@ def with_tokens(
     text: str = "text",
     lemmas: DataFrame | None = None,
     stopwords=STOPWORDS,
-    key: str = "doc_id",
 ) -> DataFrame:
     """Add ``tokens``: the whole chain, with stem or lemma if the config asks.
 
@@ -190,8 +207,8 @@ def with_tokens(
         return out.withColumn("tokens", stem_tokens(F.col("tokens")))
     if cfg.reduction == "lemma":
         if lemmas is None:
-            return lemmatize_tokens(out, key=key)
-        return replace_tokens(out, lemmas, key=key)
+            return lemmatize_tokens(out)
+        return replace_tokens(out, lemmas)
     return out
 
 

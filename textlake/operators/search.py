@@ -96,7 +96,7 @@ def query_terms(
     queries: DataFrame, cfg: CleanConfig, lemmas: DataFrame | None = None
 ) -> DataFrame:
     """(query_id, text) -> (query_id, term, qtf)."""
-    rows = with_tokens(queries.select("query_id", "text"), cfg, lemmas=lemmas, key="query_id")
+    rows = with_tokens(queries.select("query_id", "text"), cfg, lemmas=lemmas)
     return rows.select("query_id", F.inline_outer(run_lengths(F.col("tokens")))).where(
         F.col("term").isNotNull()
     ).withColumnRenamed("tf", "qtf")
