@@ -16,7 +16,7 @@ from textlake.session import materialize, scratch_path
 from textlake.sources.models import load_model, save_model
 
 QUERIES, ORACLES = {}, {}
-TERMS = 5000  # small enough that the limit cuts
+TERMS = ft.MAX_FEATURES
 COUNTS = sql.counts_cte("documents", CFG)
 VOCAB = sql.vocab_cte(max_features=TERMS)
 

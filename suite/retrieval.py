@@ -96,7 +96,7 @@ ORACLES["q7_build_index"] = (
 
 
 def _word2vec(spark, sf):
-    model = em.fit_word2vec(materialize(corpus(spark, sf), "tokens"), 20, epochs=1)
+    model = em.fit_word2vec(materialize(corpus(spark, sf), "tokens"))
     return em.word_vectors(model)
 
 
@@ -111,6 +111,9 @@ PROBES = [f"w{i}" for i in range(0, 40, 5)] + ["unknown"]
 QUERIES["e1_fit_word2vec"] = lambda spark, sf: _word2vec(spark, sf).select(
     "word", F.size("vector").alias("size")
 )
+ORACLES["e1_fit_word2vec"] = f"""
+    SELECT token AS word, 100 AS size FROM {sql.token_table('documents', CFG)}
+    GROUP BY token HAVING count(*) >= 5"""
 QUERIES["e2_most_similar"] = lambda spark, sf: em.most_similar(
     _probe_vectors(spark, sf), PROBES
 ).withColumn("similarity", F.round("similarity", 6))
@@ -130,7 +133,7 @@ ORACLES["e4_frequent_words"] = f"""
 
 def _scatter(spark, sf):
     docs = materialize(corpus(spark, sf), "tokens")
-    vectors = em.word_vectors(em.fit_word2vec(docs, 20, epochs=1))
+    vectors = em.word_vectors(em.fit_word2vec(docs))
     return em.embedding_scatter(materialize(vectors, "vectors"), em.frequent_words(docs))
 
 
@@ -197,7 +200,7 @@ def _arriving(spark, sf, name):
 
 
 def _score_stream(spark, sf):
-    model = text_classifier(CFG, "tfidf", maxFeatures=5000).fit(materialize(labelled(spark, sf), "labelled"))
+    model = text_classifier(CFG, "tfidf").fit(materialize(labelled(spark, sf), "labelled"))
     out = scratch_path(spark, "scores")
     requests = _arriving(spark, sf, "conversations").select("conv_id", "turn", "text")
     query = (

@@ -15,11 +15,11 @@ from textlake.specs import default_config
 
 CFG = default_config(lemmatize=False)
 DOCS = [
-    (0, "the battery life on this phone is amazing and lasts all day", 1),
-    (1, "terrible battery, dies within an hour, very disappointed", 0),
-    (2, "great camera quality and sharp display", 1),
-    (3, "the screen cracked after one drop, poor build quality", 0),
-    (4, "love this product, fast shipping and excellent packaging", 1),
+    (0, "quiet house, and breakfast is served until noon", 1),
+    (1, "cold breakfast, nobody at the desk, we left early", 0),
+    (2, "large garden with old trees and clean rooms", 1),
+    (3, "paint fell from the wall, damp rooms everywhere", 0),
+    (4, "we came by train and would come again", 1),
 ]
 SCHEMA = "doc_id bigint, text string, sentiment tinyint"
 
@@ -59,15 +59,15 @@ def index(spark):
 
 
 def test_relevance_filter_and_empty_query(index):
-    assert set(ids(search("battery", index, 5))) == {0, 1}
-    assert ids(search("battery", index, 5, sentiment=0)) == [1]
+    assert set(ids(search("breakfast", index, 5))) == {0, 1}
+    assert ids(search("breakfast", index, 5, sentiment=0)) == [1]
     assert ids(search("", index, 5)) == [] and ids(search("the of", index, 5)) == []
     assert ids(search("absent", index, 5)) == []
     with pytest.raises(ValueError):
-        search("battery", index, 0)
+        search("breakfast", index, 0)
 
 
-@pytest.mark.parametrize("query", ["battery", "quality quality camera", "amazing battery quality absent"])
+@pytest.mark.parametrize("query", ["breakfast", "rooms rooms garden", "quiet breakfast rooms absent"])
 def test_scores_equal_formula(index, query):
     want = {i: round(s, 9) for i, s in plain_scores(DOCS, query).items() if s > 0}
     assert {r.doc_id: r.score for r in search(query, index).collect()} == pytest.approx(want)
@@ -121,7 +121,7 @@ def test_batch_equals_single_in_every_way(spark, skewed, tmp_path, monkeypatch):
 
 def test_limits_per_query(spark, index):
     queries = spark.createDataFrame(
-        [(0, "battery", 1, None), (1, "battery", None, 0), (2, "quality", None, None)],
+        [(0, "breakfast", 1, None), (1, "breakfast", None, 0), (2, "rooms", None, None)],
         "query_id bigint, text string, top_k int, sentiment int",
     )
     rows = search_many(queries, index, 5).orderBy("query_id", "rank").collect()
@@ -130,12 +130,12 @@ def test_limits_per_query(spark, index):
 
 
 def test_lemmas_travel_with_the_index(spark, tmp_path):
-    docs = spark.createDataFrame([(0, "two batteries", 1), (1, "one battery", 0), (2, "no", 1), (3, "x y", 1), (4, "xx", 1)], SCHEMA)
+    docs = spark.createDataFrame([(0, "two batteries", 1), (1, "one breakfast", 0), (2, "no", 1), (3, "x y", 1), (4, "xx", 1)], SCHEMA)
     index = build_search_index(docs, default_config())
     write_index(index, str(tmp_path / "ix"), 2, 2)
     stored = read_index(spark, str(tmp_path / "ix"))
     assert stored.cfg == default_config()
-    assert set(ids(search("battery", stored))) == set(ids(search("batteries", stored))) == {0, 1}
+    assert set(ids(search("breakfast", stored))) == set(ids(search("batteries", stored))) == {0, 1}
     with pytest.raises(FileNotFoundError):
         read_index(spark, str(tmp_path / "none"))
 
@@ -144,12 +144,12 @@ def test_stored_search_prunes(spark, index, tmp_path):
     write_index(index, str(tmp_path / "ix"), 8, 8)
     stored = read_index(spark, str(tmp_path / "ix"))
     spark.conf.set("spark.sql.maxMetadataStringLength", "4000")  # whole locations, however long
-    plan = search("camera", stored)._jdf.queryExecution().executedPlan().toString()
+    plan = search("garden", stored)._jdf.queryExecution().executedPlan().toString()
     postings = next(line for line in plan.splitlines() if "FileScan" in line and "postings" in line)
     assert "PartitionFilters: [isnotnull(term_bucket" in postings or "(term_bucket" in postings.split("PartitionFilters")[1]
     texts = next(line for line in plan.splitlines() if "FileScan" in line and "text#" in line)
     assert "dynamicpruning" in texts
-    assert ids(search("camera", stored, 3)) == [2]
+    assert ids(search("garden", stored, 3)) == [2]
 
 
 def test_bucket_count_follows_size():
@@ -164,6 +164,6 @@ def test_build_index_from_splits(spark, tmp_path):
     build_index(spark, "amazon_fine_food", str(tmp_path / "s"), str(tmp_path / "ix"), max_docs=5, lemmatize=False)
     stored = read_index(spark, str(tmp_path / "ix"))
     assert stored.n_docs == 5
-    hits = search("battery", stored).collect()
+    hits = search("breakfast", stored).collect()
     assert {(r.doc_id, r.sentiment) for r in hits} == {(0, 1), (1, 0)}
     assert stored.docs.where(F.col("doc_id") == 9).isEmpty()

@@ -23,11 +23,13 @@ def fit_word2vec(
     min_count: int = 5,
     epochs: int = 5,
     seed: int = 42,
-    partitions: int = 1,
+    partitions: int | None = None,
     tokens: str = "tokens",
 ) -> Word2VecModel:
     """Word vectors from token lists. MLlib trains skip-gram with a hierarchical
-    softmax; ``partitions`` trades exactness of the updates for parallelism."""
+    softmax in ``partitions`` tasks, as many as the session has cores by default, and
+    joins their vectors after each epoch."""
+    partitions = partitions or docs.sparkSession.sparkContext.defaultParallelism
     return Word2Vec(
         vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=epochs, seed=seed,
         numPartitions=partitions, inputCol=tokens, outputCol="vector",

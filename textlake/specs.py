@@ -6,6 +6,7 @@ import json
 from dataclasses import asdict, dataclass, field, fields
 
 
+# The defaults of the switches.
 @dataclass(frozen=True)
 class CleanConfig:
     """Switches of the cleaning chain; the defaults suit generic English."""
