@@ -313,3 +313,44 @@ def test_pipeline_stages(docs, none, spark, sf_dir):
 
 def test_pipeline_runs(spark, sf_dir):
     assert corpus_pipeline.run(spark, sf_dir).count() > 0
+
+
+def test_language_model_learns_from_all_training_texts(spark, monkeypatch):
+    # Texts that a bounded sample of short ones would not hold: over 20,000 characters, and many.
+    first = "river stone cloud paper music light house green table water money night story world".split()
+    second = "tree bird wind fire road door hand book game city food game king ship".split()
+    rng = np.random.default_rng(12)
+    rows = [(i, " ".join(f"{first[j]} {second[j]}" for j in rng.integers(0, 14, 2500)), 0) for i in range(6)]
+    rows += [(i, "one plain short text", 0) for i in range(6, 30)] + [(90, " ".join(map(" ".join, zip(first, second))), 1)]
+    docs, seen = spark.createDataFrame(rows, "doc_id long, text string, held int"), []
+    monkeypatch.setattr(attention, "start", lambda f, c, *a, start=attention.start: seen.append((f, c)) or start(f, c, *a))
+    got = lm_scoring.score_documents(docs, F.col("held") == 1, RANKS, public_tokenizers.PATTERN)
+    row = got.filter("doc_id = 90").first()
+    features, count = seen[0]
+    assert len(rows[0][1]) > 20_000 and count.sum() > 6 * 5000 and (np.abs(features[count > 0]).sum(1) > 0).all()
+    assert row["score"] > row["base_score"]
+
+
+def test_averaged_rounds_of_several_tasks_learn(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TURN", 60)
+    rng = np.random.default_rng(13)
+    rows = [(i, " ".join(f"a{j} b{j}" for j in rng.integers(0, 30, 200)), int(i % 5 == 0)) for i in range(60)]
+    docs, calls = spark.createDataFrame(rows, "doc_id long, text string, held int"), []
+    monkeypatch.setattr(lm_scoring, "trained", lambda *a, f=lm_scoring.trained: calls.append(a[1:3]) or f(*a))
+    runs = [lm_scoring.score_documents(docs.repartition(n), F.col("held") == 1, RANKS, public_tokenizers.PATTERN)
+            .toPandas().set_index("doc_id").sort_index() for n in (2, 7)]
+    assert min(calls[0]) > 1
+    assert np.allclose(runs[0]["score"], runs[1]["score"], rtol=1e-3)
+    held = runs[0][runs[0]["held_out"]]
+    assert held["score"].sum() > 0.75 * held["base_score"].sum()
+
+
+def test_windows_hold_each_target_once():
+    rng = np.random.default_rng(14)
+    texts = [np.append(rng.integers(0, 50, n), 99) for n in (0, 15, 16, 17, 100)]
+    text, block, found = attention.windows(np.concatenate(texts), np.array([len(t) for t in texts]), 99)
+    for i, t in enumerate(texts):
+        own = found[text == i][np.argsort(block[text == i])]
+        targets = own[:, attention.STRIDE + 1 :].ravel()
+        assert (targets[targets >= 0] == t).all()
+        assert own[0, attention.STRIDE] == 99 and (own[0, : attention.STRIDE] == -1).all()
