@@ -354,3 +354,18 @@ def test_windows_hold_each_target_once():
         targets = own[:, attention.STRIDE + 1 :].ravel()
         assert (targets[targets >= 0] == t).all()
         assert own[0, attention.STRIDE] == 99 and (own[0, : attention.STRIDE] == -1).all()
+
+
+def test_toxicity_survives_mislabelled_clean_texts():
+    rng = np.random.default_rng(15)
+    plain, insults = [f"{a}{b}" for a in ("ba", "ri", "clo", "sto") for b in ("ll", "ver", "ud", "ne")], ["scumbag", "moronic", "idiotic"]
+    texts, toxic = [], []
+    for i in range(600):
+        words = [str(w) for w in rng.choice(plain, 30)]
+        if i % 3 == 0 or i < 40 and i % 3 == 1:  # clean by label, but for its insult
+            words[int(rng.integers(0, 30))] = insults[i // 3 % 3]
+        texts.append(" ".join(words))
+        toxic.append(int(i % 3 == 0))
+    model = toxicity.fit_texts(texts, np.array(toxic), 1 / 3)
+    assert (model.score([f"the ball {w} river" for w in insults]) >= 0.5).all()
+    assert (model.score(["ball river", "clone stone cloud", ""]) < 0.5).all()

@@ -4,10 +4,11 @@ The kernel of two words counts the three-letter subsequences they share, gaps
 allowed within a span of five letters and each gap letter at a discount, so that
 an insult with letters dropped in or left out still resembles itself. Word ends
 count as letters. Landmark words give Nyström features for a linear machine with
-squared hinge loss. Sentences carry the label of their document, and a sentence
-speaks through its most suspicious word: the machine is trained in rounds on
-those words of toxic documents against words of clean ones, the worst of each
-among them. As the kernel is a sum over subsequences, landmarks and machine fold
+squared hinge loss. Single words are classified, not sentences: a document speaks
+through its most suspicious word, and the machine is trained in rounds on those
+words of toxic documents against words of clean ones, the worst of each among
+them. Insults gapped by blanks, and sentences that are toxic although each of
+their words is harmless, are not found. As the kernel is a sum over subsequences, landmarks and machine fold
 into one weight per subsequence, and scoring reads a text once.
 
 A document's score is the calibrated score of its worst word.
@@ -23,6 +24,7 @@ with one pseudo-document of each; other columns are ignored.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -34,6 +36,8 @@ PER_LABEL, LONGEST = 2500, 20_000
 #: Hashed subsequences, landmarks, and letters of a word that are looked at together.
 BITS, LANDMARKS, WINDOW = 18, 300, 32
 DISCOUNT = 0.6
+#: A word of clean texts may stand for toxic ones if these have it so many times as often.
+RATIO = 4.0
 #: Distances between the three letters.
 GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (3, 1), (2, 2))
 _M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
@@ -179,10 +183,17 @@ def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4
     table = np.where(rare, np.minimum(odds, 0), odds)
     model = Model(table.astype(np.float32), 0.0, 1.0, 0.0)
 
-    innocent = {w for i in neg for w in (texts[i] or "").lower().split()}
+    in_toxic, in_clean = (
+        Counter(p for i in side for p in {w[at : at + WINDOW] for w in (texts[i] or "").lower().split() for at in range(0, len(w), WINDOW)})
+        for side in (pos, neg))
+
+    def innocent(word: str) -> bool:
+        """Whether clean texts have a word about as often as toxic ones; a few of them may be mislabelled or quote it."""
+        n = in_clean[word]
+        return n > 0 and (in_toxic[word] + 0.5) / (len(pos) + 1) < RATIO * (n + 0.5) / (len(neg) + 1)
 
     def worst_words(which: np.ndarray, most: int, new: bool = False) -> list[list[str]]:
-        """The worst words of each text; ``new``: of those that no clean text has."""
+        """The worst words of each text; ``new``: of those that are not ``innocent``."""
         out = []
         for i in which:
             x = letters([texts[i]])
@@ -190,7 +201,7 @@ def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4
             chars, found = (texts[i] or "").lower(), []
             for k in np.argsort(-value, kind="stable"):
                 word = chars[x.first[k] - 1 : x.first[k] + x.size[k] - 3]
-                if not (new and word in innocent):
+                if not (new and innocent(word)):
                     found.append(word)
                 if len(found) == most:
                     break
