@@ -369,3 +369,12 @@ def test_toxicity_survives_mislabelled_clean_texts():
     model = toxicity.fit_texts(texts, np.array(toxic), 1 / 3)
     assert (model.score([f"the ball {w} river" for w in insults]) >= 0.5).all()
     assert (model.score(["ball river", "clone stone cloud", ""]) < 0.5).all()
+
+
+def test_toxicity_learns_clean_words_from_whole_texts(monkeypatch):
+    taught = set()
+    monkeypatch.setattr(toxicity, "_kernel", lambda words, *a, f=toxicity._kernel: taught.update(words) or f(words, *a))
+    texts = [" ".join(f"word{i}x{k}" for k in range(600)) for i in range(8)] + [f"a scumbag word{i}x1" for i in range(8)]
+    toxicity.fit_texts(texts, np.repeat([0, 1], 8), 0.5)
+    late = {f"word{i}x{k}" for i in range(8) for k in range(400, 600)}
+    assert late <= taught

@@ -14,7 +14,8 @@ into one weight per subsequence, and scoring reads a text once.
 A document's score is the calibrated score of its worst word.
 
 The classifier is fitted in the driver on a bounded sample: at most
-``per_label`` documents of each label of at most ``longest`` characters.
+``per_label`` documents of each label of at most ``longest`` characters, and on at
+most ``CLEAN_WORDS`` words of all clean ones besides the worst.
 
 Defined results: a null, empty or blank text scores like a text without any
 suspicious word; repeated rows score alike; an empty table gives no rows; without
@@ -24,6 +25,7 @@ with one pseudo-document of each; other columns are ignored.
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -38,6 +40,8 @@ BITS, LANDMARKS, WINDOW = 18, 300, 32
 DISCOUNT = 0.6
 #: A word of clean texts may stand for toxic ones if these have it so many times as often.
 RATIO = 4.0
+#: Different words of clean texts that train besides their worst ones.
+CLEAN_WORDS = 6000
 #: Distances between the three letters.
 GAPS = ((1, 1), (1, 2), (2, 1), (1, 3), (3, 1), (2, 2))
 _M = [np.uint32(x) for x in (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D)]
@@ -165,8 +169,12 @@ def _logistic(g: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
     return float(t[0]), float(t[1])
 
 
-def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4, seed: int = 7) -> Model:
-    """The model of labelled texts; ``prior`` is the share of toxic ones they stand for."""
+def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4, seed: int = 7, clean_words: int = CLEAN_WORDS) -> Model:
+    """The model of labelled texts; ``prior`` is the share of toxic ones they stand for.
+
+    Besides the worst words of clean texts, ``clean_words`` of all their words, those
+    with the smallest hashes, teach what is clean.
+    """
     rng = np.random.default_rng(seed)
     part = np.arange(len(texts)) % 4 == 3  # a quarter calibrates
     if toxic[part].sum() < 5 or toxic[~part].sum() < 5:
@@ -208,8 +216,8 @@ def fit_texts(texts: list[str], toxic: np.ndarray, prior: float, rounds: int = 4
             out.append(found)
         return out
 
-    clean = sorted({w for i in rng.permutation(neg)[:400] for w in (texts[i] or "").lower().split()[:400]})
-    clean = [w[:WINDOW] for w in rng.permutation(np.array(clean, dtype=object))[:6000]]
+    clean = [w for w in in_clean if innocent(w)]
+    clean = sorted(clean, key=lambda w: (zlib.crc32(w.encode("utf-8", "replace")), w))[:clean_words]
     hard: list[str] = []
     for _ in range(rounds):
         found = [ws[0] for ws in worst_words(pos, 1, new=True) if ws]
