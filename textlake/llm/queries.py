@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlake.llm import (
-    byte_bpe, dart_minhash, line_dedup, lm_scoring, mixing, pivot_search, token_files, toxicity, vector_graph, warc,
+    byte_bpe, dart_minhash, fim, line_dedup, lm_scoring, mixing, pivot_search, token_files, toxicity, vector_graph, warc,
 )
 
 
@@ -76,6 +76,13 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf, "documents"), path))
 
 
+def op12_fim(spark: SparkSession, sf: str) -> DataFrame:
+    out = fim.transform(table(spark, sf, "documents"))
+    return out.select(
+        "doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2(F.col("output"), 256).alias("output_sha256"),
+        F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_warc": op2_warc,
@@ -87,9 +94,35 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pivot_search": op9_pivot_search,
     "op10_token_files": op10_token_files,
+    "op12_fim": op12_fim,
 }
 
 ORACLES = {
+    "op12_fim": r"""
+        WITH d AS (
+          SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx
+          FROM documents),
+        u AS (
+          SELECT doc_id, t, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS units,
+            ('0x' || substr(hx, 1, 8))::UBIGINT AS h1, ('0x' || substr(hx, 9, 8))::UBIGINT AS h2,
+            ('0x' || substr(hx, 17, 8))::UBIGINT AS h3, ('0x' || substr(hx, 25, 8))::UBIGINT AS h4 FROM d),
+        c AS (
+          SELECT *, len(units) AS n,
+            least(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS k1,
+            greatest(h1 % (len(units) + 1), h2 % (len(units) + 1)) AS k2,
+            CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+                 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+          FROM u),
+        p AS (
+          SELECT *, array_to_string(units[1:k1], '') AS pre, array_to_string(units[k1 + 1:k2], '') AS mid,
+            array_to_string(units[k2 + 1:n], '') AS suf FROM c)
+        SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+          CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars,
+          CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+          sha256(CASE form WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid
+                           WHEN 'spm' THEN '<S>' || suf || '<P>' || pre || '<M>' || mid ELSE t END) AS output_sha256,
+          sha256(t) AS restored_sha256
+        FROM p""",
     "op9_pivot_search": """
         WITH v AS (
           SELECT vec_id, unnest(embedding) AS x, unnest(range(0, len(embedding))) AS k FROM embeddings
