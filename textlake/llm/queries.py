@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlake.llm import (
-    byte_bpe, dart_minhash, fim, line_dedup, lm_scoring, mixing, pivot_search, token_files, toxicity, vector_graph, warc,
+    byte_bpe, dart_minhash, fim, line_dedup, lm_scoring, mixing, periodic_runs, pivot_search, token_files, toxicity, vector_graph, warc,
 )
 
 
@@ -83,6 +83,18 @@ def op12_fim(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2(fim.restore(F.col("output"), F.col("form")), 256).alias("restored_sha256"))
 
 
+def op13_periodic_runs(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic_runs.detect(table(spark, sf, "documents"), plant=True)
+    best = found.select(
+        "doc_id", "runs", "collapsed", periodic_runs.best_run(F.col("runs")).alias("best"))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"), F.col("best.period").alias("period"),
+        F.expr("(best.length * 1000) div best.period").alias("exponent_milli"),
+        periodic_runs.runs_digest(F.col("runs")).alias("runs_sha256"),
+        F.sha2(F.col("collapsed"), 256).alias("collapsed_sha256"))
+
+
 QUERIES = {
     "op1_lm_scoring": op1_lm_scoring,
     "op2_warc": op2_warc,
@@ -95,6 +107,7 @@ QUERIES = {
     "op9_pivot_search": op9_pivot_search,
     "op10_token_files": op10_token_files,
     "op12_fim": op12_fim,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
