@@ -6,7 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from textlake.llm import (
-    byte_bpe, dart_minhash, fim, line_dedup, lm_scoring, mixing, periodic_runs, pivot_search, token_files, toxicity, vector_graph, warc,
+    byte_bpe, dart_minhash, fim, line_dedup, lm_scoring, mixing, periodic_runs, pivot_search, quality_rules, token_files,
+    toxicity, vector_graph, warc,
 )
 
 
@@ -76,6 +77,12 @@ def op10_token_files(spark: SparkSession, sf: str) -> DataFrame:
     return token_files.read(token_files.write(table(spark, sf, "documents"), path))
 
 
+def op11_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    judged = quality_rules.judge(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op12_fim(spark: SparkSession, sf: str) -> DataFrame:
     out = fim.transform(table(spark, sf, "documents"))
     return out.select(
@@ -106,6 +113,7 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_pivot_search": op9_pivot_search,
     "op10_token_files": op10_token_files,
+    "op11_quality_rules": op11_quality_rules,
     "op12_fim": op12_fim,
     "op13_periodic_runs": op13_periodic_runs,
 }
