@@ -119,6 +119,59 @@ QUERIES = {
 }
 
 ORACLES = {
+    # Without the holdout's hash sample: it keeps every row while a language has at most
+    # 200,000 good labelled documents, as in the test tables.
+    "op11_quality_rules": r"""
+        WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t FROM documents),
+        w AS (
+          SELECT *, list_filter(regexp_split_to_array(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+            list_filter(string_split(t, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM d),
+        tri AS (
+          SELECT rid, i, words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] AS g
+          FROM (SELECT rid, words, unnest(range(1, len(words) - 1)) AS i FROM w)),
+        rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, g) AS c FROM tri) WHERE c > 1),
+        cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, (VALUES (0), (1), (2)) v(k) GROUP BY rid),
+        c AS (
+          SELECT w.rid, doc_id, lang, CAST(len(words) AS BIGINT) AS n_words,
+            CAST(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+            CAST(length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+            len(lines) AS n_lines, CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+            CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words
+          FROM w LEFT JOIN cov ON w.rid = cov.rid),
+        s AS (
+          SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+            CASE WHEN n_words > 0 THEN n_symbols / n_words END AS symbol_ratio,
+            CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines END AS dup_line_ratio,
+            CASE WHEN n_words > 0 THEN n_repeat_words / n_words END AS repeat_ratio,
+            CASE WHEN n_words > 0 THEN word_chars / n_words END AS word_length,
+            CASE WHEN n_words > 0 THEN -(word_chars / n_words) END AS shortness
+          FROM c),
+        good AS (SELECT doc_id FROM labels GROUP BY doc_id HAVING min(quality) = 1 AND max(quality) = 1),
+        held AS (SELECT * FROM s WHERE NOT base_failed AND doc_id IN (SELECT doc_id FROM good)),
+        long AS (
+          SELECT lang, rule, value FROM (
+            UNPIVOT held ON symbol_ratio, dup_line_ratio, repeat_ratio, word_length, shortness
+            INTO NAME rule VALUE value) WHERE value IS NOT NULL),
+        tests AS (SELECT lang, rule, count(*) AS n, count(*) OVER () AS m FROM long GROUP BY lang, rule),
+        tail AS (
+          SELECT lang, rule, n, j, sum(exp(lgamma(n + 1) - lgamma(j + 1) - lgamma(n - j + 1)
+                 + j * ln(0.01) + (n - j) * ln(0.99))) OVER (PARTITION BY lang, rule ORDER BY j) AS cdf, 0.05 / m AS level
+          FROM (SELECT *, unnest(range(0, n + 1)) AS j FROM tests)),
+        ks AS (SELECT lang, rule, coalesce(max(j) FILTER (WHERE cdf <= level), -1) AS k FROM tail GROUP BY lang, rule),
+        ranked AS (
+          SELECT l.lang, l.rule, value, k, row_number() OVER (PARTITION BY l.lang, l.rule ORDER BY value DESC) AS r
+          FROM long l JOIN ks ON l.lang IS NOT DISTINCT FROM ks.lang AND l.rule = ks.rule),
+        cut AS (SELECT lang, rule, value AS cutoff FROM ranked WHERE r = k + 1),
+        fails AS (
+          SELECT DISTINCT s.rid FROM s JOIN cut ON s.lang IS NOT DISTINCT FROM cut.lang
+          WHERE (cut.rule = 'symbol_ratio' AND s.symbol_ratio > cutoff)
+             OR (cut.rule = 'dup_line_ratio' AND s.dup_line_ratio > cutoff)
+             OR (cut.rule = 'repeat_ratio' AND s.repeat_ratio > cutoff)
+             OR (cut.rule = 'word_length' AND s.word_length > cutoff)
+             OR (cut.rule = 'shortness' AND s.shortness > cutoff))
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+          NOT base_failed AND rid NOT IN (SELECT rid FROM fails) AS kept
+        FROM s""",
     "op12_fim": r"""
         WITH d AS (
           SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS hx
