@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from suite.retrieval import QUERIES
 from textlake.operators import eda, embeddings as em
 from textlake.operators.estimators import score
 from textlake.operators.search import build_search_index, search_many
@@ -121,3 +122,17 @@ def test_error_cases(spark):
     )
     assert [tuple(r) for r in eda.error_cases(df).orderBy("doc_id").collect()] == [(0, 1, 0, True), (2, 0, 1, False)]
     assert eda.error_summary(df).agg(F.sum("n")).first()[0] == 2
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_tables_in_folders_of_parts_arrive_as_streams(spark, tmp_path, parts):
+    words = ["great fine day", "awful poor day"]
+    texts = spark.createDataFrame([(i, words[i % 2]) for i in range(12)], "doc_id bigint, text string")
+    texts.repartition(parts).write.parquet(str(tmp_path / "documents.parquet"))
+    quality = spark.createDataFrame([(i, 1 - i % 2) for i in range(12)], "doc_id bigint, quality int")
+    quality.repartition(parts).write.parquet(str(tmp_path / "labels.parquet"))
+    turns = [(i, 0, None if i == 5 else "" if i == 4 else words[i % 2]) for i in range(6)]
+    turns = spark.createDataFrame(turns, "conv_id bigint, turn int, text string")
+    turns.repartition(parts).write.parquet(str(tmp_path / "conversations.parquet"))
+    got = QUERIES["p1_score_stream"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.label) for r in got) == [(0, 1), (1, 0), (2, 1), (3, 0)]
