@@ -7,12 +7,12 @@ alike and keeps every other column of its input.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.feature import CountVectorizerModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol
 from pyspark.ml.util import (
@@ -27,8 +27,9 @@ from pyspark.ml.util import (
 )
 from pyspark.sql import Column, DataFrame, functions as F
 
-from textlake.functions.arrays import ngram_array
+from textlake.functions.grams import Vocabulary, by_slices, list_array, row_lengths
 from textlake.operators import features
+from textlake.operators.joins import dimension_join
 from textlake.operators.lexical import with_tokens
 from textlake.session import materialize
 from textlake.specs import CleanConfig
@@ -91,11 +92,6 @@ class _VectorizerParams(HasInputCol, HasOutputCol):
         column = self.getInputCol()
         return df.withColumn("_feature_tokens", features.feature_tokens(F.col(column), False))
 
-    def _counts(self, df: DataFrame) -> DataFrame:
-        return features.term_counts(
-            df, self.getOrDefault("ngramLo"), self.getOrDefault("ngramHi"), "_feature_tokens"
-        )
-
 
 class TextVectorizer(Estimator, _VectorizerParams, DefaultParamsReadable, DefaultParamsWritable):
     """Token arrays -> sparse feature vectors; ``fit`` learns the vocabulary."""
@@ -110,11 +106,12 @@ class TextVectorizer(Estimator, _VectorizerParams, DefaultParamsReadable, Defaul
         self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _fit(self, df: DataFrame) -> TextVectorizerModel:
-        rows = self._feature_tokens(df.select(self.getInputCol())).withColumn("doc_id", F.lit(0))
-        limit = self.getOrDefault("maxFeatures") or None
-        vocab = materialize(
-            features.fit_vocabulary(self._counts(rows), self.getOrDefault("minDf"), limit), "vocab"
+        rows = self._feature_tokens(df.select(self.getInputCol()))
+        found = features.learn_vocabulary(
+            rows, self.getOrDefault("ngramLo"), self.getOrDefault("ngramHi"), self.getOrDefault("minDf"),
+            self.getOrDefault("maxFeatures") or None, "_feature_tokens",
         )
+        vocab = materialize(found, "vocab")
         size, cf = vocab.agg(F.count("*"), F.sum("cf")).first()
         if not size:
             raise ValueError("no terms remain; lower minDf or supply more documents")
@@ -134,68 +131,120 @@ class TextVectorizerModel(Model, _VectorizerParams, MLWritable, MLReadable):
 
     def weights(self, df: DataFrame) -> DataFrame:
         """Long form (doc_id, term, term_idx, weight) for a table with doc_id."""
-        rows = self._feature_tokens(df.select("doc_id", self.getInputCol()))
-        counts = self._counts(features.by_document(rows, "_feature_tokens"))
-        bound = self.getOrDefault("maxFeatures") or None
-        n_docs, method = F.lit(self.n_docs), self.getOrDefault("method")
+        rows = features.by_document(
+            self._feature_tokens(df.select("doc_id", self.getInputCol())), "_feature_tokens"
+        )
+        counts = rows.select("doc_id", self._counts(df)("_feature_tokens").alias("c")).select("doc_id", "c.*")
+        method, lists = self.getOrDefault("method"), F.arrays_zip("term_idx", "weight")
         if method == "bow":
-            rows = features.bow(counts, self.vocab, bound)
-            return rows.select("doc_id", "term", "term_idx", F.col("tf").cast("double").alias("weight"))
-        if method == "tfidf":
-            return features.tfidf(counts, self.vocab, n_docs, bound)
-        return features.bm25(
-            counts, self.vocab, n_docs, F.lit(self.avgdl), self.getOrDefault("k1"),
-            self.getOrDefault("b"), bound,
+            weighted = counts.select("doc_id", F.inline(F.arrays_zip("term_idx", F.col("tf").alias("weight"))))
+        else:
+            # Rows of one document share length and norm, as in the long form.
+            counts = counts.withColumn("dl", features.per_document(F.col("total")))
+            raw = counts.select("doc_id", "term_idx", self._raw(df)("term_idx", "tf", "dl").alias("r"))
+            normed = raw.select(
+                "doc_id", "term_idx", "r.raw", F.sqrt(features.per_document(F.col("r.square"))).alias("norm")
+            )
+            unit = F.transform("raw", lambda w: F.when(F.col("norm") > 0, w / F.col("norm")).otherwise(w))
+            weighted = normed.withColumn("weight", unit).select("doc_id", F.inline(lists))
+        terms = self.vocab.select("term", "term_idx")
+        bound = self.getOrDefault("maxFeatures") or None
+        return dimension_join(weighted, terms, "term_idx", "doc_id", max_rows=bound).select(
+            "doc_id", "term", "term_idx", F.col("weight").cast("double").alias("weight")
         )
 
-    def _loaded(self) -> tuple[list[str], np.ndarray]:
+    def _loaded(self) -> tuple[Vocabulary, np.ndarray]:
         """Terms by index and their idf; at most maxFeatures rows."""
         if self._terms is None:
-            rows = self.vocab.select("term", "df").orderBy("term_idx").collect()
-            df = np.array([row.df for row in rows], dtype=float)
+            rows = self.vocab.select("term", "df").orderBy("term_idx").toArrow()
+            df = rows["df"].to_numpy().astype(float)
             if self.getOrDefault("method") == "tfidf":
                 idf = np.log((1.0 + self.n_docs) / (1.0 + df)) + 1.0
             else:
                 idf = np.log(1.0 + (self.n_docs - df + 0.5) / (df + 0.5))
-            self._terms = [row.term for row in rows], idf
+            self._terms = Vocabulary(rows["term"].to_pylist()), idf
         return self._terms
 
     def _transform(self, df: DataFrame) -> DataFrame:
-        terms, idf = self._loaded()
-        rows = self._feature_tokens(df).withColumn(
-            "_grams",
-            ngram_array(
-                F.col("_feature_tokens"), self.getOrDefault("ngramLo"), self.getOrDefault("ngramHi")
-            ),
-        )
-        counter = CountVectorizerModel.from_vocabulary(terms, inputCol="_grams", outputCol="_counts")
-        counted = counter.transform(rows)
-        vector = F.col("_counts")
-        if self.getOrDefault("method") != "bow":
-            vector = self._weigh(df, idf)(vector)
-        return counted.withColumn(self.getOutputCol(), vector).select(
-            *df.columns, self.getOutputCol()
-        )
+        vector = self._vectors(df)(features.feature_tokens(F.col(self.getInputCol()), False))
+        return df.withColumn(self.getOutputCol(), vector).select(*df.columns, self.getOutputCol())
 
-    def _weigh(self, df: DataFrame, idf: np.ndarray):
-        shared = df.sparkSession.sparkContext.broadcast(idf)
+    def _rule(self):
+        """(idf of the terms, their counts, length of their document) -> raw weights."""
         method, avgdl = self.getOrDefault("method"), self.avgdl
         k1, b = self.getOrDefault("k1"), self.getOrDefault("b")
 
-        @F.udf(VectorUDT(), useArrow=True)
-        def weigh(counts):
-            tf = counts.values
+        def raw(idf: np.ndarray, tf: np.ndarray, dl: np.ndarray) -> np.ndarray:
             if method == "tfidf":
-                factor = 1.0 + np.log(tf)
-            else:
-                pull = k1 * (1.0 - b + b * (tf.sum() / (avgdl + 1e-9)))
-                factor = tf * (k1 + 1.0) / (tf + pull)
-            raw = shared.value[counts.indices] * factor
-            norm = np.sqrt((raw * raw).sum()) or 1.0
-            return SparseVector(counts.size, counts.indices, raw / norm)
+                return idf * (1.0 + np.log(tf))
+            pull = k1 * (1.0 - b + b * (dl / (avgdl + 1e-9)))
+            return idf * (tf * (k1 + 1.0) / (tf + pull))
+
+        return raw
+
+    def _counts(self, df: DataFrame):
+        """Arrow function tokens -> (term_idx, tf, total)."""
+        shared = df.sparkSession.sparkContext.broadcast(self._loaded())
+        lo, hi = self.getOrDefault("ngramLo"), self.getOrDefault("ngramHi")
+
+        def count(lists: pa.Array) -> pa.Array:
+            n = len(lists)
+            row, index, tf = shared.value[0].counts(lists, lo, hi)
+            total = np.bincount(row, tf, n).astype(np.int64)
+            columns = [list_array(row, n, pa.array(x, pa.int32())) for x in (index, tf)]
+            return pa.StructArray.from_arrays([*columns, pa.array(total)], names=["term_idx", "tf", "total"])
+
+        @F.arrow_udf("term_idx array<int>, tf array<int>, total long")
+        def counts(lists: pa.Array) -> pa.Array:
+            return by_slices(count, lists)
+
+        return counts
+
+    def _raw(self, df: DataFrame):
+        """Arrow function (term_idx, tf, document length) -> (raw weights, sum of their squares)."""
+        shared, rule = df.sparkSession.sparkContext.broadcast(self._loaded()), self._rule()
+
+        @F.arrow_udf("raw array<double>, square double")
+        def weigh(index: pa.Array, tf: pa.Array, dl: pa.Array) -> pa.Array:
+            row = np.repeat(np.arange(len(index)), row_lengths(index))
+            length = dl.to_numpy(zero_copy_only=False).astype(float)[row]
+            raw = rule(shared.value[1][index.flatten().to_numpy()], tf.flatten().to_numpy().astype(float), length)
+            square = np.bincount(row, raw * raw, len(index))
+            return pa.StructArray.from_arrays(
+                [list_array(row, len(index), pa.array(raw)), pa.array(square)], names=["raw", "square"]
+            )
 
         return weigh
 
+    def _vectors(self, df: DataFrame):
+        """Arrow function tokens -> sparse vector, row by row."""
+        shared = df.sparkSession.sparkContext.broadcast(self._loaded())
+        plain, rule = self.getOrDefault("method") == "bow", self._rule()
+        lo, hi = self.getOrDefault("ngramLo"), self.getOrDefault("ngramHi")
+
+        def weigh(lists: pa.Array) -> pa.Array:
+            vocabulary, idf = shared.value
+            n = len(lists)
+            row, index, tf = vocabulary.counts(lists, lo, hi)
+            values = tf.astype(float)
+            if not plain:
+                raw = rule(idf[index], values, np.bincount(row, values, n)[row])
+                norm = np.sqrt(np.bincount(row, raw * raw, n))
+                values = raw / np.where(norm == 0, 1.0, norm)[row]
+            return pa.StructArray.from_arrays(
+                [
+                    pa.array(np.zeros(n, np.int8)), pa.array(np.full(n, vocabulary.size, np.int32)),
+                    list_array(row, n, pa.array(index, pa.int32())), list_array(row, n, pa.array(values)),
+                ],
+                names=["type", "size", "indices", "values"],
+            )
+
+        @F.arrow_udf(VectorUDT())
+        def vectors(lists: pa.Array) -> pa.Array:
+            return by_slices(weigh, lists)
+
+        return vectors
+
     def write(self) -> MLWriter:
         return _VectorizerWriter(self)
 

@@ -6,9 +6,13 @@ without a term in the vocabulary have no rows here; they count in ``n_docs``.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from textlake.functions.arrays import ngram_array, run_lengths
+from textlake.functions.arrays import let, ngram_array
+from textlake.functions.grams import gram_counts, gram_totals, row_lengths, slices
 from textlake.functions.text import analyze
 from textlake.operators.joins import dimension_join
 from textlake.operators.ranking import running_totals
@@ -24,9 +28,15 @@ def feature_tokens(tokens: Column, letters_only: bool = True) -> Column:
     Tokens of plain letters only need the length test; others are joined and cut
     again, because an apostrophe ends a feature token.
     """
+
+    def long_enough(ts: Column) -> Column:
+        return F.filter(ts, lambda t: F.length(t) >= 2)
+
     if letters_only:
-        return F.filter(tokens, lambda t: F.length(t) >= 2)
-    return analyze(F.array_join(tokens, " "))
+        return long_enough(tokens)
+    # Most rows hold the letters a to z alone, which the analyser would return as they are.
+    plain = lambda ts: ~F.array_join(ts, "").rlike("[^a-z]")
+    return let(tokens, lambda ts: F.when(plain(ts), long_enough(ts)).otherwise(analyze(F.array_join(ts, " "))))
 
 
 def ngrams(df: DataFrame, lo: int = 1, hi: int = 2, tokens: str = "tokens") -> DataFrame:
@@ -36,7 +46,7 @@ def ngrams(df: DataFrame, lo: int = 1, hi: int = 2, tokens: str = "tokens") -> D
 
 def term_counts(df: DataFrame, lo: int = 1, hi: int = 2, tokens: str = "tokens") -> DataFrame:
     """(doc_id, term, tf), counted inside each row: no shuffle."""
-    runs = run_lengths(ngram_array(F.col(tokens), lo, hi))
+    runs = gram_counts(F.col(tokens), lo, hi)
     # The outer form keeps Spark from testing the array's size below the
     # projection, which would run the whole text chain a second time.
     return df.select("doc_id", F.inline_outer(runs)).where(F.col("term").isNotNull())
@@ -56,11 +66,29 @@ def fit_vocabulary(
     A histogram of corpus counts finds how rare a term may be; only terms at
     least that frequent are ordered. Equal counts are taken alphabetically.
     """
-    terms = (
-        counts.groupBy("term")
-        .agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
-        .where(F.col("df") >= min_df)
-    )
+    totals = counts.groupBy("term").agg(F.count("*").alias("df"), F.sum("tf").alias("cf"))
+    return _numbered(totals, min_df, max_features)
+
+
+def learn_vocabulary(
+    df: DataFrame, lo: int = 1, hi: int = 2, min_df: int = 2,
+    max_features: int | None = MAX_FEATURES, tokens: str = "tokens",
+) -> DataFrame:
+    """The same from token lists; rows are counted together before they leave a task."""
+
+    def totals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(0)
+            for at, end in slices(row_lengths(lists)):
+                yield gram_totals(lists.slice(at, end - at), lo, hi)
+
+    parts = df.select(tokens).mapInArrow(totals, "term string, df long, cf long")
+    terms = parts.groupBy("term").agg(F.sum("df").alias("df"), F.sum("cf").alias("cf"))
+    return _numbered(terms, min_df, max_features)
+
+
+def _numbered(totals: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
+    terms = totals.where(F.col("df") >= min_df)
     if max_features is None:
         numbered = running_totals(terms.withColumn("one", F.lit(1)), "term", {"term_idx": "one"})
         return numbered.select("term", F.col("term_idx").cast("int"), "df", "cf")
@@ -115,12 +143,13 @@ def bow(counts: DataFrame, vocab: DataFrame, max_rows: int | None = MAX_FEATURES
     return dimension_join(counts, terms, "term", "doc_id", max_rows=max_rows)
 
 
-def _per_document(value: Column) -> Column:
+def per_document(value: Column) -> Column:
+    """Sum over the rows of one doc_id."""
     return F.sum(value).over(Window.partitionBy("doc_id"))
 
 
 def _unit_rows(raw: DataFrame) -> DataFrame:
-    norm = F.sqrt(_per_document(F.col("raw") * F.col("raw")))
+    norm = F.sqrt(per_document(F.col("raw") * F.col("raw")))
     weight = F.when(norm > 0, F.col("raw") / norm).otherwise(F.col("raw"))
     return raw.select("doc_id", "term", "term_idx", weight.alias("weight"))
 
@@ -145,7 +174,7 @@ def bm25(
     """BM25 weight of each term, each document scaled to unit length."""
     avgdl = average_length(vocab, n_docs) if avgdl is None else avgdl
     rows = bow(counts, with_idf(vocab, "bm25", n_docs), max_rows).withColumn(
-        "dl", _per_document(F.col("tf"))
+        "dl", per_document(F.col("tf"))
     )
     pull = k1 * (1.0 - b + b * (F.col("dl") / (avgdl + 1e-9)))
     raw = F.col("idf") * (F.col("tf") * (k1 + 1.0) / (F.col("tf") + pull))
