@@ -87,3 +87,14 @@ def test_cutoffs_and_verdicts(spark):
     unlabelled = q.judge(docs, labels.filter("false")).collect()
     assert len(unlabelled) == len(rows)
     assert all(r.kept == (not r.base_failed) for r in unlabelled)
+
+
+def test_cutoffs_come_from_every_good_document(spark):
+    n = 260_000
+    values = {rule: ((F.col("doc_id") * 7919 + k) % n / n) for k, rule in enumerate(q.RULES)}
+    scored = spark.range(n).select(F.col("id").alias("doc_id"), F.lit("en").alias("lang"), F.lit(False).alias("base_failed"))
+    scored = scored.withColumns(values)
+    labels = scored.select("doc_id", F.lit(1).alias("quality"))
+    rows = q.fit_cutoffs(scored, labels).collect()
+    assert {r.n for r in rows} == {n} and len(rows) == len(q.RULES)
+    assert all(r.cutoff == (n - 1 - r.k) / n for r in rows)

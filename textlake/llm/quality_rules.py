@@ -28,9 +28,10 @@ the rule rejects nothing there.
 Everything is a column expression or a DataFrame operation: counts are array
 functions inside the row (the 3-word windows are sorted, so repeats are
 neighbours), the binomial tail is an ``aggregate`` over counts in log space,
-cutoffs a window rank over the holdout. No Python runs on the rows.
-The holdout of one stratum is a hash sample of at most ``holdout`` rows (a
-documented bound for fitting); everything else covers all documents. The
+cutoffs ranks in a histogram of the holdout. No Python runs on the rows.
+The holdout is every good labelled document. Equal values are counted together; a
+histogram per stratum and rule finds the step that holds the cutoff, and only the
+distinct values of that step are ordered, so no task ranks a whole stratum. The
 holdout's rule values are written to the shared folder once, so the fit reads
 the documents once and the verdict once more.
 
@@ -59,7 +60,7 @@ MAX_REPEAT_PERCENT = 50
 
 ALPHA = 0.05
 DELTA = 0.05
-HOLDOUT = 200_000
+STEPS = 4096  # steps of a rule value in the histogram that locates its cutoff
 BROADCAST_ROWS = 100_000
 RULES = ("symbol_ratio", "dup_line_ratio", "repeat_ratio", "word_length", "shortness")
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words")
@@ -142,7 +143,7 @@ def _join_small(big: DataFrame, small: DataFrame, on: Column, how: str = "inner"
 
 
 def fit_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang", key: str = "doc_id",
-                alpha: float = ALPHA, delta: float = DELTA, holdout: int = HOLDOUT) -> DataFrame:
+                alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
     """(stratum, rule, n, k, cutoff) from the good labelled documents of ``scored`` (output of ``features``)."""
     verdicts = labels.groupBy(F.col(key).alias("_key")).agg(
         F.min("quality").alias("_low"), F.max("quality").alias("_high"))
@@ -150,22 +151,28 @@ def fit_cutoffs(scored: DataFrame, labels: DataFrame, stratum: str = "lang", key
     held = materialize(scored.filter(~F.col("base_failed"))
                        .select(F.col(stratum).alias("stratum"), F.col(key).alias("_id"), *RULES)
                        .join(good, F.col("_id") == good["_key"], "left_semi"), "quality-holdout")
-    sizes = held.groupBy(F.col("stratum").alias("_s")).agg(F.count("*").alias("_count"))
-    share = F.pmod(F.xxhash64("_id"), F.lit(1 << 53)) / float(1 << 53)
-    sample = (_join_small(held, sizes, held["stratum"].eqNullSafe(sizes["_s"]))
-              .filter(share < F.lit(holdout) / F.col("_count")))
-    long = sample.select("stratum", F.explode(F.array(*[
+    long = held.select("stratum", F.explode(F.array(*[
         F.struct(F.lit(rule).alias("rule"), F.col(rule).cast("double").alias("value")) for rule in RULES])).alias("r"),
     ).select("stratum", "r.rule", "r.value").filter(F.col("value").isNotNull())
-    tests = long.groupBy("stratum", "rule").agg(F.count("*").alias("n"))
+    values = materialize(long.groupBy("stratum", "rule", "value").agg(F.count("*").alias("rows")), "quality-values")
+    tests = values.groupBy("stratum", "rule").agg(F.sum("rows").alias("n"))
     tests = tests.withColumn("_tests", F.count("*").over(Window.partitionBy()))
     rate = alpha / len(RULES)
     tests = tests.withColumn("k", allowed_rejections(F.col("n"), rate, F.lit(delta) / F.col("_tests"))).drop("_tests")
     open_ = tests.filter("k >= 0").select(F.col("stratum").alias("_s"), F.col("rule").alias("_r"), "k")
-    order = Window.partitionBy("stratum", "rule").orderBy(F.col("value").desc())
-    ranked = _join_small(long, open_, long["stratum"].eqNullSafe(open_["_s"]) & (long["rule"] == open_["_r"]))
-    cuts = (ranked.withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") == F.col("k") + 1)
-            .select(F.col("stratum").alias("_s"), F.col("rule").alias("_r"), F.col("value").alias("cutoff")))
+    steps = (values.groupBy("stratum", "rule", F.floor(F.col("value") * STEPS).alias("step"))
+             .agg(F.sum("rows").alias("rows")))
+    down = Window.partitionBy("stratum", "rule").orderBy(F.col("step").desc())
+    upto = steps.withColumn("_upto", F.sum("rows").over(down))
+    at = (_join_small(upto, open_, upto["stratum"].eqNullSafe(open_["_s"]) & (upto["rule"] == open_["_r"]))
+          .filter((F.col("_upto") > F.col("k")) & (F.col("_upto") - F.col("rows") <= F.col("k")))
+          .select("_s", "_r", F.col("step").alias("_step"), (F.col("k") - F.col("_upto") + F.col("rows")).alias("_left")))
+    inside = _join_small(values, at, values["stratum"].eqNullSafe(at["_s"]) & (values["rule"] == at["_r"])
+                         & (F.floor(values["value"] * STEPS) == at["_step"]))
+    down = Window.partitionBy("_s", "_r").orderBy(F.col("value").desc())
+    cuts = (inside.withColumn("_upto", F.sum("rows").over(down))
+            .filter((F.col("_upto") > F.col("_left")) & (F.col("_upto") - F.col("rows") <= F.col("_left")))
+            .select("_s", "_r", F.col("value").alias("cutoff")))
     on = tests["stratum"].eqNullSafe(cuts["_s"]) & (tests["rule"] == cuts["_r"])
     return tests.join(cuts, on, "left").select("stratum", "rule", "n", "k", "cutoff")
 
