@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
 
+from textlake.functions.grams import by_slices, row_lengths
 from textlake.functions.porter import stem
 from textlake.functions.text import STOPWORDS, surface_tokens
 from textlake.operators.joins import MAX_BROADCAST_ROWS, salted_join
@@ -161,18 +165,42 @@ def replace_tokens(df: DataFrame, mapping: DataFrame, tokens: str = "tokens") ->
 
 
 def dictionary_lookup(mapping: DataFrame):
-    """Arrow function array -> array over a small (term, lemma) table."""
+    """Arrow function array -> array over a small (term, lemma) table.
+
+    The table stays in two Arrow arrays, and a slice of rows looks up its distinct
+    tokens alone, so a worker holds neither a dictionary nor a Python string per token.
+    """
     spark = mapping.sparkSession
-    shared = spark.sparkContext.broadcast(
-        {row.term: row.lemma for row in mapping.select("term", "lemma").collect()}
-    )
+    # Of several lemmas of a term the last one counts, as in a dictionary.
+    table = {row.term: row.lemma for row in mapping.select("term", "lemma").collect()}
+    terms, lemmas = pa.array(table.keys(), pa.string()), pa.array(table.values(), pa.string())
+    shared = spark.sparkContext.broadcast((terms, lemmas))
+
+    def replace(lists: pa.Array) -> pa.Array:
+        known, lemma = shared.value
+        coded = lists.flatten().dictionary_encode()
+        at = pc.index_in(known, coded.dictionary)  # hashes the slice's tokens, not the table
+        hits = pc.is_valid(at)
+        place = at.filter(hits)
+        names = pc.replace_with_mask(
+            coded.dictionary, *_scattered(place, lemma.filter(hits), len(coded.dictionary))
+        )
+        flat = names.take(coded.indices)
+        offsets = np.concatenate([[0], np.cumsum(row_lengths(lists))]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), flat, mask=pc.is_null(lists))
+
+    @F.arrow_udf("array<string>")
+    def replaced(lists: pa.Array) -> pa.Array:
+        return by_slices(replace, lists)
+
+    return replaced
 
-    @F.pandas_udf("array<string>")
-    def replace(batch: pd.Series) -> pd.Series:
-        table = shared.value
-        return batch.map(lambda ts: None if ts is None else [table.get(t, t) for t in ts])
 
-    return replace
+def _scattered(place: pa.Array, values: pa.Array, n: int) -> tuple[pa.Array, pa.Array]:
+    """(mask of n places, values in the order of their places)."""
+    mask = np.zeros(n, bool)
+    mask[place.to_numpy()] = True
+    return pa.array(mask), values.take(pc.sort_indices(place))
 
 
 def lemmatize_tokens(
