@@ -24,9 +24,20 @@ from textlake.sources.splits import read_split
 from textlake.specs import CleanConfig, get_dataset
 
 
+class CleanOnce(Pipeline):
+    """A pipeline whose first stage cleans texts; its tokens are written once for the later stages to learn from."""
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        cleaner, *learners = self.getStages()
+        made = cleaner.transform(dataset)
+        used = {p for s in learners for p in (s.getInputCol(), s.hasParam("labelCol") and s.getLabelCol())}
+        tokens = materialize(made.select([c for c in made.columns if c in used]), "tokens")
+        return PipelineModel([cleaner, *Pipeline(stages=learners).fit(tokens).stages])
+
+
 def text_classifier(cfg: CleanConfig, method: str, lemma_path: str = "", **vectorizer) -> Pipeline:
     """Unfitted chain: clean, vectorize, classify."""
-    return Pipeline(
+    return CleanOnce(
         stages=[
             TextCleaner.of(cfg, lemmaPath=lemma_path),
             vectorize(method, **vectorizer),
