@@ -98,3 +98,20 @@ def test_cutoffs_come_from_every_good_document(spark):
     rows = q.fit_cutoffs(scored, labels).collect()
     assert {r.n for r in rows} == {n} and len(rows) == len(q.RULES)
     assert all(r.cutoff == (n - 1 - r.k) / n for r in rows)
+
+
+def test_judge_counts_every_text_once(spark):
+    counted = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(text):
+        counted.add(1)
+        return text
+
+    rows = [(i, " ".join(f"w{i}x{j}" for j in range(60)), "en") for i in range(50)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("text", seen("text"))
+    labels = spark.createDataFrame([(i, 1) for i in range(50)], "doc_id long, quality int")
+    assert q.judge(docs, labels).filter("kept").count() == 50
+    assert counted.value == 50
+    judged = q.judge(docs, labels, columns=["doc_id", "lang"])
+    assert judged.columns == ["doc_id", "lang", *q.COUNTS, "base_failed", *q.RULES, "rejected_by", "kept"]
