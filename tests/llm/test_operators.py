@@ -378,3 +378,16 @@ def test_toxicity_learns_clean_words_from_whole_texts(monkeypatch):
     toxicity.fit_texts(texts, np.repeat([0, 1], 8), 0.5)
     late = {f"word{i}x{k}" for i in range(8) for k in range(400, 600)}
     assert late <= taught
+
+
+def test_words_of_texts_encoded_together_are_learnt_once(monkeypatch):
+    model, learnt = token_files.WordIds(WORDS), []
+    monkeypatch.setattr(model, "_ids_of_words", lambda words, f=model._ids_of_words: learnt.append(words) or f(words))
+    texts = ["Oneday, the (old) don't 12 x1.", "  the oneday,\n", "", " \t", "the İ ẞ 中文 oneday, <x> É", "é! 'S a's"] * 40
+    whole = Tokenizer.from_file(WORDS)
+    for part in (texts, texts[::-1]):
+        got = [np.frombuffer(x, "<u4").tolist() for x in model.encode(part)]
+        assert got == [whole.encode(t, add_special_tokens=False).ids for t in part]
+    assert [len(set(x) - {""}) for x in learnt] == [len(set(" ".join(texts).split()))] * 2 and model.encode([]) == []
+    monkeypatch.setattr(token_files, "TOGETHER", 10)
+    assert list(token_files.runs_of(np.array([4, 6, 1, 30, 0, 0]))) == [(0, 2), (2, 3), (3, 4), (4, 6)]

@@ -22,11 +22,11 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pandas as pd
-import regex
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window, functions as F
 
 from textlake.llm import simple8b
@@ -37,10 +37,15 @@ TRAILER = "<qqqqq8s"
 TRAILER_BYTES = struct.calcsize(TRAILER)
 #: Ids encoded, and read, at a time.
 SLAB = simple8b.BLOCK * 1024
+#: Characters of texts encoded together; a longer text is by itself.
+TOGETHER = 4_000_000
 #: Words whose ids a worker keeps; it starts anew beyond that.
 KEPT_WORDS = 300_000
 #: Visible ASCII and composed Latin letters.
-PLAIN = re.compile("[!-~\u00c0-\u024f]+")
+PLAIN = re.compile("[!-~\u00c0-\u024f]*")
+PLAIN_LINES = re.compile("[\n!-~\u00c0-\u024f]*")
+#: The tokenizer's own pattern of pre-tokens.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 MANIFEST = "file string, first long, first_null boolean, n_docs long, n_ids long"
 
 
@@ -51,11 +56,32 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in visible} | {b: chr(256 + k) for k, b in enumerate(hidden)}
 
 
+def flat(ids: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids in turn, number of each one's)."""
+    return np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+
+
+def picked(ids: np.ndarray, size: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same for the lists numbered in ``order``."""
+    begin, n = np.cumsum(size) - size, size[order]
+    return ids[np.arange(n.sum()) + np.repeat(begin[order] - np.cumsum(n) + n, n)], n
+
+
+def ids_of_texts(texts: pa.Array, ids_of_words) -> tuple[np.ndarray, np.ndarray]:
+    """(all ids in turn, number of each text's), ``ids_of_words`` giving those of distinct words."""
+    split = pc.ascii_split_whitespace(texts)
+    coded = split.flatten().dictionary_encode()
+    ids, n = picked(*ids_of_words(coded.dictionary.to_numpy(zero_copy_only=False).tolist()),
+                    coded.indices.to_numpy(zero_copy_only=False))
+    words = np.cumsum(pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64))
+    return ids, np.diff(np.append(0, np.append(0, np.cumsum(n))[words]))
+
+
 class WordIds:
     """Ids of whole texts from a tokenizer that drops white space.
 
-    Its pre-tokens never span white space, so ids are looked up word by word and
-    each distinct word is encoded once. Words of visible ASCII and Latin letters
+    Its pre-tokens never span white space, so texts are split into words and their
+    words numbered in Arrow, and each distinct word is encoded once. Words of visible ASCII and Latin letters
     are composed already, and lower-casing them is the same everywhere: they are
     split into pre-tokens here by the tokenizer's own pattern, each distinct
     pre-token going to its model. All other words, and those of a tokenizer with
@@ -69,7 +95,7 @@ class WordIds:
         self._tokenizer = Tokenizer.from_file(path)
         self._model = self._tokenizer.model
         steps = json.loads(self._tokenizer.to_str())
-        self._pattern = self._plain_pattern(steps)
+        self._plain = self._is_plain(steps)
         # Added tokens are found anywhere in a text, before all other steps.
         self._added = re.compile("|".join(re.escape(t["content"]) for t in steps["added_tokens"]) or "(?!)")
         self._letters = _byte_letters()
@@ -77,46 +103,59 @@ class WordIds:
         self._pieces: dict[str, bytes] = {}
 
     @staticmethod
-    def _plain_pattern(steps: dict):
-        """The pre-token pattern, if composing, blanks and lower case are all that happens before it."""
+    def _is_plain(steps: dict) -> bool:
+        """Whether composing, blanks, lower case and the pattern of ``PIECES`` are all that happens before the model."""
         normal = (steps["normalizer"] or {}).get("normalizers", [])
         before = (steps["pre_tokenizer"] or {}).get("pretokenizers", [])
         if [n["type"] for n in normal] != ["NFC", "Replace", "Lowercase"] or [x["type"] for x in before] != ["Split", "ByteLevel"]:
-            return None
+            return False
         split, letters = before
         blanks = normal[1]["pattern"] == {"Regex": r"\s+"} and normal[1]["content"] == " "
         kept = split["behavior"] == "Removed" and split["invert"] and not letters["add_prefix_space"] and not letters["use_regex"]
-        if not blanks or not kept or any(t["normalized"] for t in steps["added_tokens"]):
-            return None
-        return regex.compile(split["pattern"]["Regex"]) if "Regex" in split["pattern"] else None
+        return blanks and kept and split["pattern"] == {"Regex": PIECES} and not any(t["normalized"] for t in steps["added_tokens"])
 
-    def _piece(self, piece: str) -> bytes:
-        ids = self._pieces.get(piece)
-        if ids is None:
+    def _ids_of_pieces(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        held = self._pieces
+        for piece in [x for x in pieces if x not in held]:
             written = piece if piece.isascii() else "".join(map(self._letters.__getitem__, piece.encode()))
-            ids = self._pieces[piece] = np.array([t.id for t in self._model.tokenize(written)], "<u4").tobytes()
-        return ids
+            found = [t.id for t in self._model.tokenize(written)]
+            held[piece] = struct.pack(f"<{len(found)}I", *found)
+        return flat([held[x] for x in pieces])
+
+    def _parted(self, words: list[str]) -> tuple[np.ndarray, list[str]]:
+        """Which words are plain, and these in lower case; one look at all together mostly tells."""
+        if not self._plain:
+            return np.zeros(len(words), bool), []
+        joined = "\n".join(words)
+        lowered = joined.lower()
+        if PLAIN_LINES.fullmatch(joined) and PLAIN_LINES.fullmatch(lowered) and not self._added.search(joined):
+            return np.ones(len(words), bool), lowered.split("\n") if words else []
+        lower = [w.lower() for w in words]
+        plain = [bool(PLAIN.fullmatch(w) and PLAIN.fullmatch(x)) and not self._added.search(w) for w, x in zip(words, lower)]
+        return np.array(plain, bool), [x for x, is_plain in zip(lower, plain) if is_plain]
+
+    def _ids_of_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        plain, lower = self._parted(words)
+        marked = pc.replace_substring_regex(pa.array(lower, pa.large_string()), pattern=PIECES, replacement=r"\0 ")
+        ids, size = ids_of_texts(marked, self._ids_of_pieces)
+        if plain.all():
+            return ids, size
+        others = [w for w, is_plain in zip(words, plain) if not is_plain]
+        new = [w for w in others if w not in self._kept]
+        for word, coded in zip(new, self._tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+            self._kept[word] = np.array(coded.ids, "<u4").tobytes()
+        more, more_size = flat([self._kept[w] for w in others])
+        order = np.where(plain, np.cumsum(plain) - 1, len(lower) + np.cumsum(~plain) - 1)
+        return picked(np.append(ids, more), np.append(size, more_size), order)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit integers."""
-        kept = self._kept
-        for held in (kept, self._pieces):
+        for held in (self._kept, self._pieces):
             if len(held) > KEPT_WORDS:
                 held.clear()
-        words = [text.encode().split() for text in texts]
-        others = []
-        for word in set(chain.from_iterable(words)).difference(kept):
-            text = word.decode()
-            lower = text.lower()
-            if self._pattern and PLAIN.fullmatch(text) and PLAIN.fullmatch(lower) and not self._added.search(text):
-                kept[word] = b"".join(map(self._piece, self._pattern.findall(lower)))
-            else:
-                others.append(word)
-        if others:
-            coded = self._tokenizer.encode_batch_fast([w.decode() for w in others], add_special_tokens=False)
-            for word, ids in zip(others, coded):
-                kept[word] = np.array(ids.ids, "<u4").tobytes()
-        return [b"".join(map(kept.__getitem__, w)) for w in words]
+        ids, size = ids_of_texts(pa.array(texts, pa.large_string()), self._ids_of_words)
+        ends = np.cumsum(size)
+        return [ids[a:b].tobytes() for a, b in zip(ends - size, ends)]
 
 
 @functools.lru_cache(maxsize=2)
@@ -124,6 +163,15 @@ def word_ids(path: str) -> WordIds:
     return WordIds(path)
 
 
+def runs_of(sizes: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(begin, end) of consecutive texts that are encoded together."""
+    upto, at = np.cumsum(sizes), 0
+    while at < len(sizes):
+        end = max(at + 1, int(np.searchsorted(upto, upto[at] - sizes[at] + TOGETHER, "right")))
+        yield at, end
+        at = end
+
+
 class Writer:
     """One file; ids are encoded whenever a slab is full."""
 
@@ -185,8 +233,8 @@ def write(docs: DataFrame, tokenizer_path: str, folder: str | None = None, end_i
     def to_file(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model, writer, first, first_null = word_ids(tokenizer_path), None, 0, False
         for batch in batches:
-            for at in range(0, len(batch), 256):
-                part = batch.iloc[at : at + 256]
+            for at, end in runs_of(batch["text"].str.len().to_numpy(np.int64)):
+                part = batch.iloc[at:end]
                 if writer is None:
                     writer = Writer(target)
                     first, first_null = int(part["doc_id"].iloc[0]), bool(part["no_id"].iloc[0])
