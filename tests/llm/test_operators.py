@@ -391,3 +391,19 @@ def test_words_of_texts_encoded_together_are_learnt_once(monkeypatch):
     assert [len(set(x) - {""}) for x in learnt] == [len(set(" ".join(texts).split()))] * 2 and model.encode([]) == []
     monkeypatch.setattr(token_files, "TOGETHER", 10)
     assert list(token_files.runs_of(np.array([4, 6, 1, 30, 0, 0]))) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+
+
+def test_language_model_is_trained_on_every_window(spark, monkeypatch):
+    # A corpus that counts as large: 16 windows to each of 40 texts, held out ones aside.
+    monkeypatch.setattr(lm_scoring, "FULL_BYTES", 100, raising=False)
+    rows = [(i, " ".join(["stone"] * (16 * attention.STRIDE - 1)), int(i % 4 == 0)) for i in range(40)]
+    docs, seen = spark.createDataFrame(rows, "doc_id long, text string, held int"), []
+
+    def trained(drawn, tasks, rounds, p, class_of, end):
+        width = (attention.WIDTH + 1) * np.dtype(lm_scoring.stored_type(end)).itemsize
+        seen.extend((r["n"], len(r["windows"]) // width) for r in drawn.collect())
+        return p
+
+    monkeypatch.setattr(lm_scoring, "trained", trained)
+    lm_scoring.score_documents(docs, F.col("held") == 1, RANKS, public_tokenizers.PATTERN).count()
+    assert sum(n for n, _ in seen) == 30 * 16 and all(n == stored for n, stored in seen)
