@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from textlake.llm import byte_bpe, dart_minhash, line_dedup, mixing, toxicity
+from textlake.llm import byte_bpe, dart_minhash, line_dedup, mixing, passages, toxicity
 from textlake.llm.files import materialize
 from textlake.llm.queries import toxicity_model
 
@@ -32,8 +32,8 @@ def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def without_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, without the lines that an earlier one has."""
-    return line_dedup.dedup_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    """All documents, without the lines and the passages of 50 words or more that an earlier one has."""
+    return line_dedup.dedup_lines(docs.select(*COLUMNS), passage_words=passages.LENGTH).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -15,7 +15,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from textlake.llm import (
-    attention, byte_bpe, dart_minhash, line_dedup, lm_scoring, mixing, pivot_search, simple8b, token_files, toxicity,
+    attention, byte_bpe, dart_minhash, line_dedup, lm_scoring, mixing, passages, pivot_search, simple8b, token_files, toxicity,
     vector_graph, warc,
 )
 
@@ -407,3 +407,43 @@ def test_language_model_is_trained_on_every_window(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "trained", trained)
     lm_scoring.score_documents(docs, F.col("held") == 1, RANKS, public_tokenizers.PATTERN).count()
     assert sum(n for n, _ in seen) == 30 * 16 and all(n == stored for n, stored in seen)
+
+
+def test_passages_inside_lines_go_where_an_earlier_document_has_them(spark, sf_dir):
+    rng = random.Random(16)
+    word = lambda: rng.choice("ab éé İx ẞ c, d. E 世界".split()) + str(rng.randrange(400))
+    shared = [[word() for _ in range(n)] for n in (49, 50, 51, 120)]
+    rows, blanks = [], [" ", "\n", "\t ", "\n\n"]
+    for i in range(24):
+        words = [word() for _ in range(rng.randrange(90))]
+        for part in rng.sample(shared, 2):
+            at = rng.randrange(len(words) + 1)
+            words[at:at] = [w.upper() if i % 2 and w.upper().lower() == w.lower() else w for w in part]
+        rows.append((i % 23 if i < 23 else None, "".join(w + rng.choice(blanks) for w in words)))
+    rows += [(30, "x " * 200), (31, None), (32, ""), (33, rows[4][1]), (33, rows[4][1])]
+    split = [(k, (t or "").lower().encode().split()) for k, t in rows]
+    order = sorted(range(len(rows)), key=lambda r: (rows[r][0] is not None, rows[r][0] or 0))
+    seen, expected = {}, {}
+    for r in order:
+        key, words = split[r]
+        own = [tuple(words[p : p + 50]) for p in range(len(words) - 49)]
+        if gone := {p for p, w in enumerate(own) if seen.get(w, key) != key}:
+            expected[key] = gone
+        for w in own:
+            seen.setdefault(w, key)
+    docs = spark.createDataFrame([(k, t, None, None, 0) for k, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    found = {r["id"]: set(r["places"]) for r in passages.repeated_windows(docs.repartition(5)).collect()}
+    assert found == expected and len(found) > 10
+    kept = corpus_pipeline.without_repeated_lines(spark, docs, sf_dir)
+    assert kept.count() == len(rows)
+    before = {k: len(words) for k, words in split}
+    left = {r["doc_id"]: len((r["text"] or "").split()) for r in kept.collect()}
+    assert all(left[k] <= before[k] - 50 for k in expected)
+
+
+def test_cut_passages_leave_the_lines_around_them():
+    text = "a b c d\n e f\n\ng h\ni"
+    places = passages.spans(text, [2, 3], 4)
+    assert [text[s:e] for s, e in places] == ["c d\n e f\n\ng "] and not passages.spans(text, [], 4)
+    rest, removed = line_dedup.remove_units(text, {4}, "\n", places)
+    assert rest == "a b \nh" and [text[s:e] for s, e in removed] == ["c d", " e f\n", "\n", "g ", "i"]
