@@ -21,12 +21,12 @@ COUNTS = sql.counts_cte("documents", CFG)
 VOCAB = sql.vocab_cte(max_features=TERMS)
 
 
-def _fitted(spark, sf):
+def _fitted(spark, sf, placed=True):
     """Counts, vocabulary and corpus size; tokens and vocabulary are written once."""
     docs = materialize(corpus(spark, sf), "tokens")
-    counts = ft.term_counts(ft.by_document(docs))
-    vocab = materialize(ft.fit_vocabulary(counts, 2, TERMS), "vocab")
-    return counts, vocab, ft.document_count(narrow(spark, sf))
+    # Terms are summed over all documents: only the weights need a document's rows in one place.
+    vocab = materialize(ft.fit_vocabulary(ft.term_counts(docs), 2, TERMS), "vocab")
+    return ft.term_counts(ft.by_document(docs) if placed else docs), vocab, ft.document_count(narrow(spark, sf))
 
 
 def _rounded(df):
@@ -54,7 +54,7 @@ ORACLES["v3_full_vocabulary"] = (
 
 
 def _bow(spark, sf):
-    counts, vocab, _ = _fitted(spark, sf)
+    counts, vocab, _ = _fitted(spark, sf, placed=False)
     return ft.bow(counts, vocab).select("doc_id", "term", "term_idx", "tf")
 
 
