@@ -68,7 +68,9 @@ def _resolve(piece: Column) -> Column:
     name = F.regexp_extract(piece, r"^([^\t\n\f <&#;]{1,32};)", 1)
     prefix = F.regexp_extract(piece, f"^(?:{longest_first})", 0)
     return (
-        F.when(
+        # No reference begins otherwise; looking a name up walks through the whole map.
+        F.when(~piece.rlike("^[a-zA-Z#]"), F.concat(F.lit("&"), piece))
+        .when(
             piece.rlike(decimal),
             F.concat(
                 _from_code(_decimal(F.regexp_extract(piece, decimal, 1))),
@@ -85,11 +87,11 @@ def _resolve(piece: Column) -> Column:
         .otherwise(
             F.coalesce(
                 F.concat(
-                    F.try_element_at(_lookup(full), name),
+                    F.try_element_at(_lookup(full), F.nullif(name, F.lit(""))),
                     F.substr(piece, F.length(name) + 1),
                 ),
                 F.concat(
-                    F.try_element_at(_lookup(bare), prefix),
+                    F.try_element_at(_lookup(bare), F.nullif(prefix, F.lit(""))),
                     F.substr(piece, F.length(prefix) + 1),
                 ),
                 F.concat(F.lit("&"), piece),

@@ -16,6 +16,7 @@ from textlake.functions.grams import gram_counts, gram_totals, row_lengths, slic
 from textlake.functions.text import analyze
 from textlake.operators.joins import dimension_join
 from textlake.operators.ranking import running_totals
+from textlake.session import materialize
 
 METHODS = ("bow", "tfidf", "bm25")
 MAX_FEATURES = 50_000
@@ -88,7 +89,8 @@ def learn_vocabulary(
 
 
 def _numbered(totals: DataFrame, min_df: int, max_features: int | None) -> DataFrame:
-    terms = totals.where(F.col("df") >= min_df)
+    # Written once: both the histogram (or the ranges) and the choice of terms read them.
+    terms = materialize(totals.where(F.col("df") >= min_df), "term-totals")
     if max_features is None:
         numbered = running_totals(terms.withColumn("one", F.lit(1)), "term", {"term_idx": "one"})
         return numbered.select("term", F.col("term_idx").cast("int"), "df", "cf")
