@@ -447,3 +447,38 @@ def test_cut_passages_leave_the_lines_around_them():
     assert [text[s:e] for s, e in places] == ["c d\n e f\n\ng "] and not passages.spans(text, [], 4)
     rest, removed = line_dedup.remove_units(text, {4}, "\n", places)
     assert rest == "a b \nh" and [text[s:e] for s, e in removed] == ["c d", " e f\n", "\n", "g ", "i"]
+
+
+def test_segments_hold_the_windows_of_their_blocks():
+    rng = np.random.default_rng(17)
+    for end in (50_256, 70_000):
+        length = np.array([1, 15, 16, 17, 256, 257, 1000, 3])
+        ids = np.concatenate([np.append(rng.integers(0, end, n - 1), end) for n in length])
+        _, _, size, stream = attention.segments(ids, length, end)
+        assert len(stream) < 1.5 * len(ids) + 17 * len(length)
+        packed = lm_scoring.pack(size, stream, end)
+        assert (attention.windows_of(*lm_scoring.unpack(packed, end)) == attention.windows(ids, length, end)[2]).all()
+        assert attention.blocks_of(size).sum() == (-(-length // attention.STRIDE)).sum()
+
+
+def test_first_embeddings_do_not_depend_on_ids_that_no_text_has():
+    rng = np.random.default_rng(18)
+    count, class_of = np.append(np.ones(30), np.zeros(5000)), np.zeros(5030, int)
+    features = np.concatenate([rng.normal(size=(30, attention.DIM)), np.zeros((5000, attention.DIM))])
+    got = attention.start(features, count, class_of)["embed"][:30]
+    assert np.allclose(got, attention.start(features[:30], count[:30], class_of[:30])["embed"])
+
+
+def test_score_of_a_text_depends_on_no_other():
+    rng = np.random.default_rng(19)
+    texts = [rng.integers(0, 40, n) for n in (5, 70, 33, 1, 48)]
+    count = np.bincount(np.concatenate(texts), minlength=41) + 1
+    model = attention.train(texts, 40, count, steps=60)
+
+    def scores(order):
+        goal = [np.append(texts[k], 40) for k in order]
+        flat = np.concatenate(goal)
+        of = np.repeat(order, [len(g) for g in goal])
+        out = lm_scoring.apart(model, np.concatenate([[40], flat[:-1]]), flat, of)
+        return np.bincount(of, out, len(texts))
+    assert np.allclose(scores([0, 1, 2, 3, 4]), scores([3, 1, 4, 0, 2]), rtol=1e-6)
