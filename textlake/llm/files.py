@@ -7,20 +7,11 @@ which files count, so leftovers of failed or repeated tasks are never read.
 
 from __future__ import annotations
 
-import re
 import uuid
 
-from pyarrow import fs
 from pyspark.sql import DataFrame
 
-from textlake.session import materialize, scratch_path
-
-
-def locate(url: str) -> tuple[fs.FileSystem, str]:
-    local = re.match(r"file:/+(.*)", url)
-    if local or "://" not in url:
-        return fs.LocalFileSystem(), "/" + local[1] if local else url
-    return fs.FileSystem.from_uri(url)
+from textlake.session import locate, materialize, open_file, scratch_path
 
 
 def create(folder: str, suffix: str):
@@ -36,11 +27,6 @@ def open_stream(url: str):
     return system.open_input_stream(path, compression=None)
 
 
-def open_file(url: str):
-    system, path = locate(url)
-    return system.open_input_file(path)
-
-
 def one_each(manifest: DataFrame) -> DataFrame:
     """The rows of a manifest dealt over tasks, so that each reads few files."""
     return manifest.repartition(max(1, manifest.count()))
