@@ -1,11 +1,14 @@
 """Word vectors: the tree, a trainer's steps pair by pair, and what whole fits learn."""
 
 import heapq
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.ml import feature
 
 from textlake.operators import embeddings as em, skipgram as sg
+from textlake.session import SHUFFLE_CLEANUP_CONF, locate, shared_dir
 
 
 @pytest.mark.parametrize("counts", [[1], [5, 5], [9, 4, 4, 3, 1, 1, 1], [2**k for k in range(20, 0, -1)]])
@@ -113,13 +116,15 @@ def test_fit_learns_and_repeats(spark):
     assert {(r.word, *r.vector) for r in found.collect()} == {(r.word, *r.vector) for r in again.collect()}
 
 
-def test_vectors_do_not_pass_through_the_driver(spark, monkeypatch):
+def no_driver_model(monkeypatch):
     def never(*args, **kwargs):
         raise AssertionError("MLlib's model holds all vectors on the driver")
 
-    from pyspark.ml import feature
-
     monkeypatch.setattr(feature.Word2Vec, "fit", never)
+
+
+def test_vectors_do_not_pass_through_the_driver(spark, monkeypatch):
+    no_driver_model(monkeypatch)
     names = [f"w{k:04}" for k in range(em.BLOCK + 500)]
     rows = [(i, names[i % 5 :: 5] + names[: 40 * (i % 2)]) for i in range(25)]
     docs = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
@@ -131,6 +136,27 @@ def test_vectors_do_not_pass_through_the_driver(spark, monkeypatch):
     assert np.isfinite(moved).all() and min(moved) > 0 and max(moved) < 5
 
 
+def test_scatter_sets_topics_apart(spark, monkeypatch):
+    no_driver_model(monkeypatch)
+    docs = topics(spark)
+    vectors = em.word_vectors(em.fit_word2vec(docs, 16, epochs=4, partitions=3))
+    at = {r.word: r.x for r in em.embedding_scatter(vectors, em.frequent_words(docs, 20)).collect()}
+    assert set(at) == {r.word for r in em.frequent_words(docs, 20).collect()} and len(at) == 20
+    a, b = ([x for word, x in at.items() if word[0] == t] for t in "ab")
+    assert max(a) < min(b) or max(b) < min(a)
+
+
+def test_finished_shuffles_and_older_vectors_go(spark):
+    before = spark.conf.get(SHUFFLE_CLEANUP_CONF, None)
+    kept = Path(locate(shared_dir(spark))[1], "textlake")
+    old = set(kept.glob("*/part-*")) if kept.exists() else set()
+    found = em.word_vectors(em.fit_word2vec(topics(spark), 8, epochs=3))
+    left = {path.parent.name.split("-")[0] for path in set(kept.glob("*/part-*")) - old}
+    assert left == {"vectors"} and found.count() == 24
+    assert len({path.parent for path in set(kept.glob("*/part-*")) - old}) == 1
+    assert spark.conf.get(SHUFFLE_CLEANUP_CONF, None) == before
+
+
 def test_documents_of_odd_kinds(spark):
     rows = [(0, None), (1, []), (2, ["lone"] * 1), (3, ["x", None, "y"]), (4, ["x", "y"] * 1200)] + [(5, ["lone"])] * 4
     docs = spark.createDataFrame(rows, "doc_id bigint, tokens array<string>")
